@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.workspace import new_location
 
-FILE_BYTES = 64 * 1024 * 1024
+FILE_BYTES = 16 * 1024 * 1024
 TURNS_PER_PAGE_ELEMENT = 1000
 
 # Names of written dumps, by session, table folder and kind.

@@ -47,7 +47,7 @@ _SCAN = f"WITH {_REVISIONS} {_RAW}"
 # How many files the dump of conversations has, and which one a turn is in.
 _DUMP_FILES = """
 files AS (
-  SELECT greatest(4, CAST(ceil(sum(strlen(text)) / 67108864.0) AS BIGINT)) AS n
+  SELECT greatest(4, CAST(ceil(sum(strlen(text)) / 16777216.0) AS BIGINT)) AS n
   FROM conversations
 )"""
 _DUMP_FILE = "(conv_id + turn // 1000) % (SELECT n FROM files)"
@@ -55,7 +55,7 @@ _DUMP_FILE = "(conv_id + turn // 1000) % (SELECT n FROM files)"
 # Staged documents: name, bytes' hash and the rule's number of each file.
 _STAGED = """
 files AS (
-  SELECT greatest(10, CAST(ceil(sum(strlen(text)) / 67108864.0) AS BIGINT)) AS n FROM documents
+  SELECT greatest(10, CAST(ceil(sum(strlen(text)) / 16777216.0) AS BIGINT)) AS n FROM documents
 ),
 staged AS (
   SELECT k, 'pages-meta-history' || k || '.txt' AS name,

@@ -208,26 +208,54 @@ def parse_revisions(carried: DataFrame) -> DataFrame:
     )
 
 
-def stage_history(records: DataFrame, location: str, mode: str = "errorifexists") -> None:
-    """Decompress and parse once, into a columnar table at ``location``."""
+def stage_history(
+    records: DataFrame, location: str, mode: str = "errorifexists", part: str = ""
+) -> None:
+    """Decompress and parse once, into columnar tables below ``location``.
+
+    ``rows`` has a row per revision, ``blocks`` the page that is open where a
+    block begins. ``part`` is a partition folder (``batch=7``) within each.
+    """
+    spark = records.sparkSession
+    rows_at, blocks_at = f"{location}/rows/{part}", f"{location}/blocks/{part}"
     rows = parse_revisions(carry_headers(split_records(records)))
-    rows.write.mode(mode).option("compression", "zstd").parquet(location)
+    rows.write.mode(mode).option("compression", "zstd").parquet(rows_at)
+    open_pages(spark.read.parquet(rows_at)).write.mode(mode).parquet(blocks_at)
+
 
+def open_pages(rows: DataFrame) -> DataFrame:
+    """The page that is open where each block begins: at most a row per block.
+
+    Only page starts and rows without a page are looked at, without their texts.
+    """
+    last_start = F.max_by(F.struct(*_HEADER), F.when(F.col("starts_page"), F.col("seq")))
+    turning = rows.where("starts_page or not page_known")
+    by_block = turning.groupBy("file_path", "block_start").agg(last_start.alias("last"))
+    earlier = (
+        Window.partitionBy("file_path")
+        .orderBy("block_start")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    opened = by_block.withColumn("open", F.last("last", ignorenulls=True).over(earlier))
+    return opened.select("file_path", "block_start", "open.*")
 
-def staged_history(spark: SparkSession, location: str, strict_elements: bool = False) -> DataFrame:
-    """Revision rows of a staged table, readable or not.
+
+def staged_history(
+    spark: SparkSession, location: str, strict_elements: bool = False, part: str = ""
+) -> DataFrame:
+    """Revision rows of a staged history, readable or not.
 
     The 11 fields as text, where each row is from (``file_path``,
     ``file_name``, ``block_start``, ``seq``), and ``problem`` /
     ``malformed_xml`` for rows that are no revision.
     """
-    staged = spark.read.parquet(location)
-    rows = staged.where("is_revision")
+    rows = spark.read.parquet(f"{location}/rows/{part}").where("is_revision")
+    blocks = spark.read.parquet(f"{location}/blocks/{part}")
     known = rows.where("page_known")
     repaired = (
         rows.where("not page_known")
         .drop(*_HEADER)
-        .join(_headers_at_block_start(staged), ["file_path", "block_start"], "left")
+        .join(blocks.select("file_path", "block_start", *_HEADER), ["file_path", "block_start"], "left")
         .select(*known.columns)
     )
     problem = F.when(~F.col("readable"), UNREADABLE).when(
@@ -241,25 +269,10 @@ def staged_history(spark: SparkSession, location: str, strict_elements: bool = F
     )
 
 
-def _headers_at_block_start(staged: DataFrame) -> DataFrame:
-    """The page that is open where each block begins: one row per block."""
-    blocks = staged.groupBy("file_path", "block_start").agg(F.max("starts_page").alias("any"))
-    pages = staged.where("starts_page").groupBy("file_path", "block_start")
-    headers = pages.agg(F.max_by(F.struct(*_HEADER), "seq").alias("last"))
-    by_block = blocks.join(headers, ["file_path", "block_start"], "left")
-    earlier = (
-        Window.partitionBy("file_path")
-        .orderBy("block_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    opened = by_block.withColumn("open", F.last("last", ignorenulls=True).over(earlier))
-    return opened.select("file_path", "block_start", "open.*")
-
-
 def unclosed_files(spark: SparkSession, location: str) -> DataFrame:
     """Staged files that end before their root element does."""
-    staged = spark.read.parquet(location)
-    by_file = staged.groupBy("file_path", "file_name").agg(F.max("root_closed").alias("whole"))
+    rows = spark.read.parquet(f"{location}/rows")
+    by_file = rows.groupBy("file_path", "file_name").agg(F.max("root_closed").alias("whole"))
     return by_file.where("not whole").select("file_path", "file_name")
 
 

@@ -44,10 +44,10 @@ def stream_history(
         reader = reader.option("sourceArchiveDir", archive)
 
     def take(records: DataFrame, number: int) -> None:
-        location = f"{staging}/batch={number}"
-        stage_history(records, location, mode="overwrite")
+        stage_history(records, staging, mode="overwrite", part=f"batch={number}")
         if on_batch is not None:
-            on_batch(staged_history(records.sparkSession, location), number)
+            rows = staged_history(records.sparkSession, staging, part=f"batch={number}")
+            on_batch(rows, number)
 
     records = with_source(reader.text(path))
     writer = records.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
