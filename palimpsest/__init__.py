@@ -9,6 +9,7 @@ from palimpsest.operators.integrity import (
     verify,
     verify_unless_trusted,
 )
+from palimpsest.operators.provenance import with_provenance
 from palimpsest.operators.quality import (
     duplicate_ids,
     fields_only,
@@ -69,5 +70,6 @@ __all__ = [
     "verify",
     "verify_unless_trusted",
     "wanted_files",
+    "with_provenance",
     "write_revisions",
 ]

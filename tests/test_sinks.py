@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import dumps
-from palimpsest import FIELDS, RAW_SCHEMA, retype, write_revisions
+from palimpsest import FIELDS, RAW_SCHEMA, retype, with_provenance, write_revisions
 from palimpsest.operators.quality import DuplicateRevision, MissingValue
 from palimpsest.sinks.csv_files import read_csv, read_parallel_csv
 from palimpsest.sinks.jdbc import jdbc_options, read_jdbc, register_jdbc_catalog
@@ -142,3 +142,15 @@ def test_whole_or_nothing(spark, raw, target):
     assert write_revisions(fewer, "table", table, replace=True, **options) == fewer.count()
     assert same(spark.table(table).select(*FIELDS), fewer)
     assert tables() == 1
+
+
+def test_table_is_partitioned_by_dump_date(spark, raw):
+    name = f"w{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    typed = retype(raw).withColumn("unknown", F.lit(1))
+    write_revisions(with_provenance(typed, "20200101"), "table", f"{name}.revisions")
+    table = spark.table(f"{name}.revisions")
+    assert table.columns == [*FIELDS, "ingested_at", "dump_date"]
+    assert table.where("dump_date = '20200101' and ingested_at is not null").count() == raw.count()
+    plan = table.where("dump_date = '20200601'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dump_date" in plan
