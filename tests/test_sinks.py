@@ -144,7 +144,7 @@ def test_whole_or_nothing(spark, raw, target):
     assert tables() == 1
 
 
-def test_table_is_partitioned_by_dump_date(spark, raw):
+def test_provenance(spark, raw, tmp_path):
     name = f"w{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {name}")
     typed = retype(raw).withColumn("unknown", F.lit(1))
@@ -152,5 +152,8 @@ def test_table_is_partitioned_by_dump_date(spark, raw):
     table = spark.table(f"{name}.revisions")
     assert table.columns == [*FIELDS, "ingested_at", "dump_date"]
     assert table.where("dump_date = '20200101' and ingested_at is not null").count() == raw.count()
-    plan = table.where("dump_date = '20200601'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dump_date" in plan
+    for date, rows in (("20200101", raw), ("20200601", raw.where("page_ns = '0'"))):
+        write_revisions(rows, "parallel_csv", str(tmp_path / "csv"), dump_date=date)
+    both = read_parallel_csv(spark, str(tmp_path / "csv"))
+    assert same(both.where("dump_date = '20200101'").select(*FIELDS), raw)
+    assert same(both.where("dump_date = '20200601'").select(*FIELDS), raw.where("page_ns = '0'"))
