@@ -218,7 +218,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = new_location(spark, "stream")
     query = stream_history(
         spark, dumps.history_path(spark, sf_dir), staging, new_location(spark, "stream-state"),
-        files_per_batch=2, glob="*.bz2",
+        glob="*.bz2",
     )
     query.awaitTermination()
     return quality.fields_only(quality.revisions_or_fail(streamed_history(spark, staging)))

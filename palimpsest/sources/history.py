@@ -50,6 +50,18 @@ _CARRIED = (
     "body string, closed boolean, root_closed boolean"
 )
 
+_ROWS = (
+    "file_path string, file_name string, block_start long, seq long, starts_page boolean, "
+    "is_revision boolean, readable boolean, complete boolean, root_closed boolean, "
+    "malformed_xml string, "
+    + ", ".join(f"{name} string" for name in FIELDS)
+    + ", page_known string"
+)
+_BLOCKS = "file_path string, block_start long, page_title string, page_ns string, page_id string"
+
+# Rows with and without a page are written side by side rather than sorted first.
+CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text records of the files, with the file and the block each one is from."""
@@ -72,8 +84,7 @@ def split_records(records: DataFrame) -> DataFrame:
     closed: each start then gets a row and all but the last are marked open.
     """
     value = F.col("value")
-    before = F.substring_index(value, REVISION_START, 1)
-    after = F.substring_index(value, REVISION_START, -1)
+    before, after = F.col("before"), F.col("after")
     mark = len(REVISION_START)
     is_single = (
         F.octet_length(before) + mark + F.octet_length(after) == F.octet_length(value)
@@ -83,18 +94,18 @@ def split_records(records: DataFrame) -> DataFrame:
     def fragment(lead, body, closed):
         return F.struct(lead.alias("lead"), body.alias("body"), closed.alias("closed"))
 
+    # Each token is the body of one revision and what leads up to the next.
     tokens = F.split(value, REVISION_START)
+    starts_here = F.size(tokens) - 1
+    several = F.arrays_zip(
+        F.slice(tokens, F.lit(1), starts_here),
+        F.slice(tokens, F.lit(2), starts_here),
+        F.array_append(F.array_repeat(F.lit(False), starts_here - 1), F.lit(True)),
+    )
     fragments = (
         F.when(~value.contains(REVISION_START), F.array(fragment(value, none, F.lit(True))))
         .when(is_single, F.array(fragment(before, after, F.lit(True))))
-        .otherwise(
-            F.transform(
-                F.sequence(F.lit(2), F.size(tokens)),
-                lambda i: fragment(
-                    F.element_at(tokens, i - 1), F.element_at(tokens, i), i == F.size(tokens)
-                ),
-            )
-        )
+        .otherwise(several.cast("array<struct<lead: string, body: string, closed: boolean>>"))
     )
     lead = F.col("lead")
     starts_page = lead.contains("<page") & lead.rlike(PAGE_START)
@@ -106,7 +117,13 @@ def split_records(records: DataFrame) -> DataFrame:
     page_xml = F.when(starts_page & previous_closed, page_fragment)
     page = F.from_xml(page_xml, PAGE_XML, XML_OPTIONS)
     return (
-        records.select(*_SOURCE, F.inline(fragments))
+        records.select(
+            *_SOURCE,
+            "value",
+            F.substring_index(value, REVISION_START, 1).alias("before"),
+            F.substring_index(value, REVISION_START, -1).alias("after"),
+        )
+        .select(*_SOURCE, F.inline(fragments))
         .select(
             *_SOURCE,
             F.monotonically_increasing_id().alias("seq"),
@@ -213,14 +230,21 @@ def stage_history(
 ) -> None:
     """Decompress and parse once, into columnar tables below ``location``.
 
-    ``rows`` has a row per revision, ``blocks`` the page that is open where a
-    block begins. ``part`` is a partition folder (``batch=7``) within each.
+    ``rows`` has a row per revision, apart from each other those with and without
+    a page; ``blocks`` has the page that is open where a block begins. ``part`` is a partition folder (``batch=7``) within each.
     """
     spark = records.sparkSession
     rows_at, blocks_at = f"{location}/rows/{part}", f"{location}/blocks/{part}"
     rows = parse_revisions(carry_headers(split_records(records)))
-    rows.write.mode(mode).option("compression", "zstd").parquet(rows_at)
-    open_pages(spark.read.parquet(rows_at)).write.mode(mode).parquet(blocks_at)
+    writers = spark.conf.get(CONCURRENT_WRITERS)
+    spark.conf.set(CONCURRENT_WRITERS, "2")
+    try:
+        by_page = rows.write.mode(mode).option("compression", "zstd").partitionBy("page_known")
+        by_page.parquet(rows_at)
+    finally:
+        spark.conf.set(CONCURRENT_WRITERS, writers)
+    staged = spark.read.schema(_ROWS).parquet(rows_at)
+    open_pages(staged).write.mode(mode).parquet(blocks_at)
 
 
 def open_pages(rows: DataFrame) -> DataFrame:
@@ -229,7 +253,7 @@ def open_pages(rows: DataFrame) -> DataFrame:
     Only page starts and rows without a page are looked at, without their texts.
     """
     last_start = F.max_by(F.struct(*_HEADER), F.when(F.col("starts_page"), F.col("seq")))
-    turning = rows.where("starts_page or not page_known")
+    turning = rows.where("starts_page or page_known = 'false'")
     by_block = turning.groupBy("file_path", "block_start").agg(last_start.alias("last"))
     earlier = (
         Window.partitionBy("file_path")
@@ -249,13 +273,14 @@ def staged_history(
     ``file_name``, ``block_start``, ``seq``), and ``problem`` /
     ``malformed_xml`` for rows that are no revision.
     """
-    rows = spark.read.parquet(f"{location}/rows/{part}").where("is_revision")
-    blocks = spark.read.parquet(f"{location}/blocks/{part}")
-    known = rows.where("page_known")
+    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows/{part}").where("is_revision")
+    blocks = spark.read.schema(_BLOCKS).parquet(f"{location}/blocks/{part}")
+    blocks = blocks.select("file_path", "block_start", *_HEADER)
+    known = rows.where("page_known = 'true'")
     repaired = (
-        rows.where("not page_known")
+        rows.where("page_known = 'false'")
         .drop(*_HEADER)
-        .join(blocks.select("file_path", "block_start", *_HEADER), ["file_path", "block_start"], "left")
+        .join(blocks, ["file_path", "block_start"], "left")
         .select(*known.columns)
     )
     problem = F.when(~F.col("readable"), UNREADABLE).when(
@@ -271,7 +296,7 @@ def staged_history(
 
 def unclosed_files(spark: SparkSession, location: str) -> DataFrame:
     """Staged files that end before their root element does."""
-    rows = spark.read.parquet(f"{location}/rows")
+    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows")
     by_file = rows.groupBy("file_path", "file_name").agg(F.max("root_closed").alias("whole"))
     return by_file.where("not whole").select("file_path", "file_name")
 
