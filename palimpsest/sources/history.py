@@ -239,8 +239,10 @@ def stage_history(
     writers = spark.conf.get(CONCURRENT_WRITERS)
     spark.conf.set(CONCURRENT_WRITERS, "2")
     try:
-        by_page = rows.write.mode(mode).option("compression", "zstd").partitionBy("page_known")
-        by_page.parquet(rows_at)
+        by_page = rows.write.mode(mode).partitionBy("page_known")
+        # A replayed batch replaces both folders, also where it fills only one.
+        by_page.option("partitionOverwriteMode", "static")
+        by_page.option("compression", "zstd").parquet(rows_at)
     finally:
         spark.conf.set(CONCURRENT_WRITERS, writers)
     staged = spark.read.schema(_ROWS).parquet(rows_at)
