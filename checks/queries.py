@@ -318,8 +318,9 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         url = f"jdbc:derby:memory:revisions{uuid.uuid4().hex};create=true"
     table = f"revisions_{uuid.uuid4().hex[:12]}"
     write_revisions(retype(_scanned(spark, sf_dir)), "jdbc", url, table)
-    stored = read_jdbc(spark, url, table)
-    return _with_epoch(stored)
+    ids = dumps.table(spark, sf_dir, "conversations").select(F.expr(dumps.REVISIONS["id"]).alias("id"))
+    bounds = ids.agg(F.min("id"), F.max("id")).first()
+    return _with_epoch(read_jdbc(spark, url, table, partitions=4, id_range=tuple(bounds)))
 
 
 def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
