@@ -179,7 +179,8 @@ def null_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nullable = ["parent_id", "text", "comment", "contributor_id", "contributor_name"]
     rows = _scanned(spark, sf_dir)
-    return rows.select("id", *[state(c) for c in nullable], F.length("text").cast("long").alias("text_length"))
+    length = F.length("text").cast("long").alias("text_length")
+    return rows.select("id", *[state(c) for c in nullable], length)
 
 
 def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -231,7 +231,8 @@ def stage_history(
     """Decompress and parse once, into columnar tables below ``location``.
 
     ``rows`` has a row per revision, apart from each other those with and without
-    a page; ``blocks`` has the page that is open where a block begins. ``part`` is a partition folder (``batch=7``) within each.
+    a page; ``blocks`` has the page that is open where a block begins. ``part``
+    is a partition folder (``batch=7``) within each.
     """
     spark = records.sparkSession
     rows_at, blocks_at = f"{location}/rows/{part}", f"{location}/blocks/{part}"
