@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import minhash_dedup, substring_dedup
+from palimpsest.llm import language_id, minhash_dedup, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagger = language_id.train(docs)
+    return language_id.predict(docs.select("doc_id", "text"), tagger).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select(
@@ -24,7 +32,15 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(docs).select("doc_id", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op7_minhash_dedup)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, scorer).select(
+        "doc_id", language_id.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_substring_dedup, op7_minhash_dedup, op8_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": r"""
@@ -35,10 +51,10 @@ WITH docs AS (
 ), places AS (
     SELECT row, words, unnest(range(1, len(words) - 33)) AS start FROM docs WHERE len(words) >= 35
 ), windows AS (
-    SELECT row, start, sha256(array_to_string(words[start:start + 34], ' ')) AS window FROM places
+    SELECT row, start, sha256(array_to_string(words[start:start + 34], ' ')) AS passage FROM places
 ), repeated AS (
     SELECT row, start FROM windows
-    WHERE window IN (SELECT window FROM windows GROUP BY window HAVING count(*) > 1)
+    WHERE passage IN (SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1)
 ), gone AS (
     SELECT DISTINCT row, unnest(range(start, start + 35)) AS place FROM repeated
 ), lost AS (

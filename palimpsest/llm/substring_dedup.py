@@ -157,12 +157,15 @@ CANDIDATES = "d1 long, d2 long, doc_id long, tag int, start int, stop int, n int
 def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
     """Windows seen twice are settled as ranges, with one row to stand for them."""
     d1, d2, ids, known, tags, starts = (np.concatenate(x) for x in zip(*gathered))
+    given = d1, d2, ids, known, tags, starts
     order = np.lexsort((d2, d1))
-    d1, d2, ids, known, tags, starts = (x[order] for x in (d1, d2, ids, known, tags, starts))
+    d1, d2, ids, known, tags, starts = (x[order] for x in given)
     new = np.concatenate([[True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])])
     group = np.cumsum(new) - 1
     twice = np.bincount(group)[group] > 1
     stand = twice & new
+    # in the order of the documents, which compresses far better than that of the hashes
+    alone = np.sort(order[~twice])
 
     def rows(d1, d2, ids, known, tags, starts, stops, n):
         size = len(d1)
@@ -179,8 +182,8 @@ def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
             names=[x.split()[0] for x in CANDIDATES.split(", ")],
         )
 
-    yield from rows(d1[~twice], d2[~twice], ids[~twice], known[~twice], tags[~twice],
-                    starts[~twice], starts[~twice] + window, 1)
+    *single, begins = (x[alone] for x in given)
+    yield from rows(*single, begins, begins + window, 1)
     yield from rows(d1[stand], d2[stand], ids[stand], known[stand], tags[stand], None, None, 2)
     ids, known, tags, starts = (x[twice] for x in (ids, known, tags, starts))
     order = np.lexsort((starts, tags, ids, known))

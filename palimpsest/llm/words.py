@@ -141,3 +141,47 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def grams(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...], buckets: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Byte n-grams of words: the word and the bucket of each.
+
+    A word's first and last gram of each size counts once more as its affix, and
+    the whole word is a gram as well.
+    """
+    lengths = ends - starts
+    owners, found = [np.arange(len(starts))], [hash_spans(data, starts, ends)]
+    for n in sizes:
+        counts = np.maximum(lengths - n + 1, 0)
+        owner = np.repeat(np.arange(len(starts)), counts)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = starts[owner] + place
+        code = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            code = code * np.uint64(257) + data[at + k]
+        for part, salt in ((slice(None), 0), (place == 0, 1), (place == counts[owner] - 1, 2)):
+            owners.append(owner[part])
+            found.append(mix(code[part], 31 + salt))
+    return np.concatenate(owners), (np.concatenate(found) % np.uint64(buckets)).astype(np.int64)
+
+
+def lowered(texts: pa.Array) -> pa.Array:
+    return pc.utf8_lower(texts)
+
+
+def has_letters(words: Words) -> np.ndarray:
+    """Words with a byte of a letter: ASCII letters or anything beyond ASCII."""
+    letter = (words.data >= 0x80) | ((words.data | 0x20) - np.uint8(0x61) < 26)
+    sums = np.concatenate([[0], np.cumsum(letter)])
+    return sums[words.ends] > sums[words.starts]
+
+
+def kinds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each distinct hash, ascending, and which of them each one is."""
+    _, spot, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    order = np.argsort(spot)
+    rank = np.empty(len(spot), np.int64)
+    rank[order] = np.arange(len(spot))
+    return spot[order], rank[inverse]
