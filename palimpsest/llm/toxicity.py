@@ -6,7 +6,7 @@ and go through a linear softmax of two classes; a document scores as its highest
 segment, so a few toxic words count alike in short and in long texts.
 
 Embeddings and softmax are trained together, on the driver, on a bounded sample:
-about ``ROWS_PER_CLASS`` labelled rows a class that have at most ``SAMPLE_WORDS``
+about ``ROWS_PER_CLASS`` toxic rows, and twice as many clean ones, that have at most ``SAMPLE_WORDS``
 words, chosen by hash. In toxic documents the segment that scores highest so far is
 the toxic one (after some rounds in which all are).
 
@@ -28,13 +28,15 @@ from pyspark.sql import types as T
 from palimpsest.llm.language_id import held_out
 from palimpsest.llm.words import column, grams, kinds, lowered, slices, words_of
 
-ROWS_PER_CLASS = 1500
+ROWS_PER_CLASS = 600
 SAMPLE_WORDS = 600
-SEGMENT = 8
+SEGMENT = 4
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 16
 DIMENSIONS = 8
-STEPS, ALL_POSITIVE = 70, 15
+STEPS, ALL_POSITIVE = 80, 12
+#: The longest step of an embedding's, the softmax's and the bias's numbers; their decay.
+STEP_LENGTHS, DECAY = (0.6, 0.1, 0.3), 0.01
 TOXIC = 0.7
 
 
@@ -67,34 +69,31 @@ def fit(texts: list[str], toxic: list[int], seed: int = 0) -> Scorer:
     owner, feature = grams(words.data, words.starts[spot], words.ends[spot], SIZES, BUCKETS)
     share = 1 / np.bincount(owner, minlength=len(spot))
     head, doc, size = _cut(words.first)
-    segment = np.repeat(np.arange(len(head)), size)
     positive = toxic[doc] == 1
     edges = np.flatnonzero(np.diff(doc, prepend=-1))
-    values = [rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, DIMENSIONS), np.array([-1.0])]
-    slow, squares = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
-    for turn in range(1, STEPS + 1):
+    sizes = np.diff(np.append(edges, len(doc)))
+    values = [rng.normal(0, 0.02, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, DIMENSIONS), np.array([-1.0])]
+    slow = [np.zeros_like(v) for v in values]
+    for turn in range(STEPS):
         vectors, out, bias = values
         each = np.stack([np.bincount(owner, v[feature], len(spot)) for v in vectors.T], 1) * share[:, None]
-        bags = np.stack([np.bincount(segment, v[inverse], len(head)) for v in each.T], 1) / size[:, None]
+        bags = np.add.reduceat(each[inverse], head) / size[:, None]
         logit = bags @ out + bias
-        if turn > ALL_POSITIVE:
-            best = np.maximum.reduceat(logit, edges)
-            chosen = positive & (logit >= np.repeat(best, np.diff(np.append(edges, len(doc)))))
-        else:
-            chosen = positive
-        weight = np.where(chosen, 0.5 / max(1, chosen.sum()), 0) + np.where(positive, 0, 0.5 / max(1, (~positive).sum()))
+        best = logit >= np.repeat(np.maximum.reduceat(logit, edges), sizes)
+        chosen = positive & best if turn >= ALL_POSITIVE else positive
+        # half the weight of clean documents is on their highest segments, the likeliest mistakes
+        weight = np.where(chosen, 1 / max(1, chosen.sum()), 0)
+        for clean in (~positive, ~positive & best):
+            weight = weight + np.where(clean, 1 / max(1, clean.sum()), 0)
         wrong = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - positive) * weight
-        to_bag = wrong[:, None] * out / size[:, None]
-        to_word = np.stack([np.bincount(inverse, b[segment], len(spot)) for b in to_bag.T], 1) * share[:, None]
-        slopes = [
-            np.stack([np.bincount(feature, w[owner], BUCKETS) for w in to_word.T], 1) + 1e-8 * vectors,
-            wrong @ bags,
-            np.array([wrong.sum()]),
-        ]
-        for v, m, s, slope in zip(values, slow, squares, slopes):
-            m += 0.1 * (slope - m)
-            s += 0.01 * (slope**2 - s)
-            v -= 0.1 * (m / (1 - 0.9**turn)) / (np.sqrt(s / (1 - 0.99**turn)) + 1e-10)
+        to_word = np.bincount(inverse, np.repeat(wrong / size, size), len(spot)) * share
+        slope = np.bincount(feature, to_word[owner], BUCKETS)
+        slopes = [slope[:, None] * out, wrong @ bags, np.array([wrong.sum()])]
+        # one step length for all n-grams: those of many documents move, rare ones hardly do
+        for v, m, slope, most in zip(values, slow, slopes, STEP_LENGTHS):
+            m += 0.3 * (slope - m)
+            v *= 1 - DECAY
+            v -= most * m / (np.abs(m).max() + 1e-12)
     return Scorer(values[0] @ values[1], float(values[2][0]))
 
 
@@ -107,8 +106,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer | None:
     counts = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    # short enough texts are about two thirds of all, hence twice the share
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * ROWS_PER_CLASS / n))])
+    # twice as many clean rows; and not all rows are short enough
+    wanted = {0: 3 * ROWS_PER_CLASS, 1: 1.5 * ROWS_PER_CLASS}
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, wanted[k] / n))])
     place = F.pmod(F.xxhash64("labelled"), F.lit(1 << 30)) / float(1 << 30)
     chosen = marked.where(place < share[F.col("toxic")])
     short = F.size(F.split("text", "[\\x20\\x09-\\x0D]+")) <= SAMPLE_WORDS
