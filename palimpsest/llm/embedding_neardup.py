@@ -1,13 +1,14 @@
 """Near-duplicate vectors by spherical-cap filters from a structured product code.
 
-A filter is a direction; a vector is in it when their inner product reaches a bound.
+A filter is a direction; a vector is in it when their inner product exceeds a bound.
 Directions are concatenations of one code word for each of ``BLOCKS`` parts of the
 (randomly rotated) space, so a vector's filters are found by list decoding: part by
-part, dropping prefixes that the best possible rest cannot lift to the bound. The
-bound gives a vector about ``FILTERS`` filters. Vectors of one label that share a
-filter are compared in double precision, by matrix products inside the filter; at a
-cosine of 0.98 about 0.6 of one vector's filters hold the other too, so that hardly
-any pair shares none. A pair counts in the least filter it shares.
+part, keeping the prefixes that can still lead to it. The bound is each vector's own:
+``FILTERS`` directions of each of ``CODES`` codes exceed it, also for vectors that
+lie badly in the code. Vectors of one label that share a filter are compared in
+double precision, by matrix products inside the filter. At a cosine of 0.98 most of
+one vector's filters hold the other too, so that hardly any pair shares none (the
+measured recall is in the README). A pair counts in the least filter it shares.
 
 Equal vectors of a label are one node with a multiplicity. Filters with more than
 ``CHUNK`` nodes are cut into chunks, and each pair of chunks is a task's work of its
@@ -32,7 +33,8 @@ from palimpsest.llm.words import column
 
 COSINE = 0.98
 BLOCKS = 4
-FILTERS = 32
+FILTERS = 16
+CODES = 1
 #: Nodes of one filter on average, over all labels.
 FILTER_NODES = 256
 CHUNK = 512
@@ -51,36 +53,28 @@ class ProductCode:
         for part in self.parts:
             directions = rng.normal(size=(words, len(part)))
             self.code.append(directions / np.linalg.norm(directions, axis=1, keepdims=True) / np.sqrt(blocks))
-        sample = rng.normal(size=(256, dims))
-        sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-        low, high = -1.0, 1.0
-        self.bound = -2.0
-        if words**blocks > FILTERS:
-            low = 0.0 if words**blocks > 4 * FILTERS else -1.0
-            for _ in range(20):
-                self.bound = (low + high) / 2
-                if len(self.decode(sample)[0]) > FILTERS * len(sample):
-                    low = self.bound
-                else:
-                    high = self.bound
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of unit vectors and their filters, in the order of rows and filters."""
+        """Rows of unit vectors and their filters.
+
+        A direction among the best of the whole space has a prefix among as many best
+        prefixes: any better prefix would make a better direction with the same rest.
+        So the prefixes kept at each part are enough, and the list is exact.
+        """
         turned = unit @ self.rotation
-        products = [turned[:, part] @ code.T for part, code in zip(self.parts, self.code)]
-        best = np.array([p.max(axis=1) for p in products])
-        rest = np.cumsum(best[::-1], axis=0)[::-1]
-        row, prefix, value = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
-        for k, product in enumerate(products):
-            value = value[:, None] + product[row]
-            after = rest[k + 1][row] if k + 1 < len(products) else np.zeros(len(row))
-            keep, word = np.nonzero(value + after[:, None] >= self.bound)
-            value, prefix, row = value[keep, word], prefix[keep] * self.words + word, row[keep]
-        return row, prefix
+        prefix, value = np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1))
+        for part, code in zip(self.parts, self.code):
+            product = turned[:, part] @ code.T
+            value = (value[:, :, None] + product[:, None, :]).reshape(len(unit), -1)
+            prefix = (prefix[:, :, None] * self.words + np.arange(self.words)).reshape(len(unit), -1)
+            if value.shape[1] > FILTERS:
+                best = np.argpartition(-value, FILTERS - 1, axis=1)[:, :FILTERS]
+                value, prefix = np.take_along_axis(value, best, 1), np.take_along_axis(prefix, best, 1)
+        return np.repeat(np.arange(len(unit)), prefix.shape[1]), prefix.reshape(-1)
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    codes: dict[int, ProductCode] = {}
+    codes: dict[int, list[ProductCode]] = {}
     for batch in batches:
         vectors = column(batch, "embedding")
         lengths = vectors.value_lengths().to_numpy()
@@ -88,22 +82,32 @@ def _decoded(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
         starts = np.cumsum(lengths) - lengths
         for dims in np.unique(lengths):
             rows = np.flatnonzero(lengths == dims)
-            code = codes.setdefault(int(dims), None) or ProductCode(int(dims), words)
-            codes[int(dims)] = code
-            unit = flat[starts[rows][:, None] + np.arange(dims)]
-            unit = unit / np.abs(unit).max(axis=1, keepdims=True)
+            if int(dims) not in codes:
+                codes[int(dims)] = [ProductCode(int(dims), words, seed) for seed in range(CODES)]
+            vector = flat[starts[rows][:, None] + np.arange(dims)]
+            unit = vector / np.abs(vector).max(axis=1, keepdims=True)
             unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+            exact = vector.astype(np.float32)
+            width = np.where((exact == vector).all(axis=1), 4, 8)  # what holds the components exactly
             for low in range(0, len(rows), 1024):
                 part = unit[low : low + 1024]
-                row, filters = code.decode(part)
+                found = [code.decode(part) for code in codes[int(dims)]]
+                row = np.concatenate([x for x, _ in found])
+                filters = np.concatenate([f * CODES + k for k, (_, f) in enumerate(found)])
+                order = np.lexsort((filters, row))
+                row, filters = row[order], filters[order].astype(np.int32)
                 ends = np.searchsorted(row, np.arange(len(part) + 1))
+                raw = [
+                    (exact if w == 4 else vector)[k].tobytes()
+                    for k, w in enumerate(width[low : low + 1024].tolist(), low)
+                ]
                 kept = batch.take(pa.array(rows[low : low + 1024]))
                 yield pa.RecordBatch.from_arrays(
                     [*(column(kept, x) for x in ("node", "label", "copies")),
                      pa.array(np.full(len(part), dims, np.int32)),
-                     pa.array([x.tobytes() for x in part], pa.binary()),
+                     pa.array(raw, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(filters))],
-                    names=["node", "label", "copies", "dims", "unit", "filters"],
+                    names=["node", "label", "copies", "dims", "vector", "filters"],
                 )
 
 
@@ -146,7 +150,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = rows.combine_chunks().to_batches()
         for part in rows:
             dims = column(part, "dims")[0].as_py()
-            unit = np.frombuffer(b"".join(column(part, "unit").to_pylist())).reshape(-1, dims)
+            raw = column(part, "vector").to_pylist()
+            unit = np.stack([np.frombuffer(x, np.float32 if len(x) == 4 * dims else np.float64) for x in raw])
+            unit = unit.astype(np.float64)
+            unit /= np.abs(unit).max(axis=1, keepdims=True)
+            unit /= np.linalg.norm(unit, axis=1, keepdims=True)
             lists = column(part, "filters")
             ends = np.cumsum(lists.value_lengths().to_numpy())
             filters = np.split(lists.flatten().to_numpy(), ends[:-1])
@@ -194,7 +202,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     decoded = staged(
         nodes.mapInArrow(
             lambda it: _decoded(it, words),
-            "node long, label long, copies long, dims int, unit binary, filters array<long>",
+            "node long, label long, copies long, dims int, vector binary, filters array<int>",
         ),
         "filters",
     )
@@ -206,7 +214,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tasks = tasks.select(
         "label", "dims", "filter", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"),
-        "chunk", "node", "copies", "unit", "filters",
+        "chunk", "node", "copies", "vector", "filters",
     )
     keys = ["label", "dims", "filter", "first", "second"]
     compared = staged(

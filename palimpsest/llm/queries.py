@@ -13,6 +13,7 @@ from palimpsest.llm import (
     mixing,
     sharding,
     substring_dedup,
+    token_output,
     topk_search,
     toxicity,
 )
@@ -67,6 +68,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -83,6 +88,7 @@ QUERIES = {
         op6_sharding,
         op7_minhash_dedup,
         op8_toxicity,
+        op9_token_output,
         op10_mixing,
     )
 }
