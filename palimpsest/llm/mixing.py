@@ -88,28 +88,50 @@ def _size(text: str) -> F.Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """The documents with size, source_size, target, taken, and where the run begins.
+    """The documents (without their text) with size, source_size, target and taken."""
+    docs = docs.drop(*ADDED)
+    whole = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
+    sized = whole.select("doc", _size("text").alias("size"), _place(seed).alias("place"))
+    return _mixed(sized, weights, seed).select("doc.*", *ADDED)
 
-    ``run_from`` is the word of the document at which the part of it that is taken once
-    more than the rest begins; it may go round to the document's first words.
+
+def materialize(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """The mix itself: a row for each time a document is taken; columns as they were.
+
+    A part of a document has the words of the part, joined by one space.
     """
-    spark = docs.sparkSession
-    docs = docs.drop(*ADDED, "run_from")
-    payload = [c for c in docs.columns if c != "text"] if "text" in docs.columns else docs.columns
-    return _mixed(spark, docs.select(F.struct(*payload).alias("doc"), "text"), weights, seed).select(
-        "doc.*", *ADDED, "run_from"
+    whole = docs.select(F.struct("*").alias("doc"), "text")
+    sized = whole.select("doc", "text", _size("text").alias("size"), _place(seed).alias("place"))
+    mixed = _mixed(sized.drop("text"), weights, seed).where("taken > 0")
+    words = F.regexp_extract_all("doc.text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    place = lambda name: F.col(name).cast("int")
+    part = F.array_join(
+        F.concat(F.slice(words, place("run_from") + 1, place("run_words")), F.slice(words, 1, place("head_words"))), " "
+    )
+    more = F.col("run_words") + F.col("head_words")
+    copies = F.concat(
+        F.array_repeat("doc.text", place("passes")),
+        F.when(more == 0, F.array().cast("array<string>"))
+        .when(more == F.col("size"), F.array("doc.text"))
+        .otherwise(F.array(part)),
     )
+    columns = [F.col(f"doc.{c}").alias(c) for c in docs.columns if c != "text"]
+    return mixed.select(*columns, F.explode(copies).alias("text")).select(*docs.columns)
+
+
+def _place(seed: int) -> F.Column:
+    return F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("text"))
 
 
-def _mixed(spark, docs: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
-    """doc, size, source_size, target, taken, run_from of rows doc, text."""
-    place = F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("text"))
-    sized = docs.select("doc", F.col("doc.source").alias("source"), _size("text").alias("size"), place.alias("place"))
+def _mixed(sized: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
+    """The columns added, and the parts of ``taken``: passes over all words of the
+    document, then run_words from run_from on and head_words from its first on."""
+    sized = sized.withColumn("source", F.col("doc.source"))
     cells = F.pmod(F.shiftright("place", 20), F.lit(MOST_SHARDS)).cast("int").alias("cell")
     sums = sized.groupBy("source", cells).agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
     plan = _plan(sums, weights, seed)
     schema = "p_source string, p_cell int, shard int, source_size long, target double, words long, passes long, run long, start long"
-    table = spark.createDataFrame(plan, schema)
+    table = sized.sparkSession.createDataFrame(plan, schema)
     keyed = sized.withColumn("cell", cells)
     placed = keyed.join(
         F.broadcast(table), keyed["source"].eqNullSafe(table["p_source"]) & (keyed["cell"] == table["p_cell"])
@@ -123,9 +145,10 @@ def _mixed(spark, docs: DataFrame, weights: tuple[int, ...], seed: int) -> DataF
     first = overlap(F.col("start"), F.least(stop, F.col("words")))
     round_ = overlap(none, stop - F.col("words"))
     return at.select(
-        "doc", "size", "source_size", "target",
+        "doc", "size", "source_size", "target", "passes",
         (F.col("passes") * F.col("size") + first + round_).alias("taken"),
         F.when(first > 0, F.greatest("start", "low") - F.col("low")).otherwise(none).alias("run_from"),
+        first.alias("run_words"), round_.alias("head_words"),
     )
 
 
