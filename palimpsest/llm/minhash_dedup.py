@@ -11,10 +11,11 @@ connect. Reordered text is not similar, as edit similarity has it.
    probability 0.26 or more, so all 40 miss 5 pairs in a million.
 2. Documents of the same words are one node, whatever their number.
 3. Nodes that share a sketch and whose lengths allow 0.8 are candidates. First each
-   is aligned with one hub of its bucket. Then only those not in the hub's group are
-   compared with the rest, if they are not connected by then. So a large group of
-   near copies takes pairs in proportion to its size, and no link that would join
-   two groups is left out.
+   is aligned with one hub of its bucket. Then those not in the hub's group are
+   compared with the hub's other nodes, blocks against blocks, where a matrix product
+   of shingle counts rules most pairs out. Only links that join groups come out: a
+   large group of near copies gives rows in proportion to its size, and no link that
+   would join two groups is left out.
 4. The alignment is a longest common subsequence within the band that a similarity
    of 0.8 allows, exact at that threshold, over 32-bit shingle hashes.
 
@@ -38,6 +39,8 @@ SHINGLE = 5
 PICKS = 6
 SKETCHES = 40
 SIMILARITY = 0.8
+#: Nodes of a hub in one block of a task, and in one matrix product; columns of it.
+HUB_BLOCK, TOGETHER, COLUMNS = 1024, 256, 1 << 13
 _GENERATOR = np.random.Generator(np.random.PCG64(5))
 _ODD = _GENERATOR.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = _GENERATOR.integers(0, 2**63, PICKS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -190,6 +193,107 @@ def _links(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     return staged(both.select("a", "b", "items_a", "items_b").mapInArrow(_verified, "a long, b long"), "links")
 
 
+def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by task; of each task the links that join its groups."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([column(batch, x).to_numpy() for x in ("hub", "i", "j")], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+            key = tuple(keys[low].tolist())
+            if held and key != last:
+                yield _joining(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = key
+    if held:
+        yield _joining(held)
+
+
+def _joining(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(held).combine_chunks()
+    node, group = rows["node"].to_numpy(), rows["group"].to_numpy()
+    apart = rows["apart"].to_numpy(zero_copy_only=False)
+    items = [np.frombuffer(x, np.uint32) for x in rows["items"].to_pylist()]
+    size = np.array([len(x) for x in items])
+    ones, others = np.flatnonzero(apart), np.flatnonzero(~apart)
+    parent = {int(g): int(g) for g in np.unique(group)}
+
+    def root(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = parent[parent[g]]
+            g = parent[g]
+        return g
+
+    found: list[tuple[int, int]] = []
+    for low in range(0, len(ones), TOGETHER):
+        left = ones[low : low + TOGETHER]
+        for at in range(0, len(others), TOGETHER):
+            right = others[at : at + TOGETHER]
+            least = -(-8 * (size[left][:, None] + size[right]) // 18)
+            open_ = (group[left][:, None] != group[right]) & (np.minimum.outer(size[left], size[right]) >= least)
+            if open_.sum() > len(left) + len(right):
+                open_ &= _in_common([items[k] for k in left], [items[k] for k in right]) >= least
+            for x, y in zip(*np.nonzero(open_)):
+                a, b = left[x], right[y]
+                one, other = root(int(group[a])), root(int(group[b]))
+                if one != other and similar(items[a], items[b]):
+                    parent[one] = other
+                    found.append((int(node[a]), int(node[b])))
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """For all pairs how many items they have in common at most: a matrix product.
+
+    An item that one holds repeatedly counts as often as that, at either side.
+    """
+    sides = []
+    ranks, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    cuts = np.cumsum([len(x) for x in [*left, *right]])
+    total = np.zeros((len(left), len(right)))
+    parts = np.split(place, cuts[:-1])
+    for low in range(0, len(ranks), COLUMNS):
+        sides = []
+        for part in (parts[: len(left)], parts[len(left) :]):
+            matrix = np.zeros((len(part), COLUMNS), np.float32)
+            for k, x in enumerate(part):
+                own = x[(x >= low) & (x < low + COLUMNS)] - low
+                np.add.at(matrix[k], own, 1)
+            sides.append(matrix)
+        one, other = sides
+        total += np.minimum((one > 0) @ other.T, one @ (other.T > 0)) if (one.max() > 1 or other.max() > 1) else one @ other.T
+    return total
+
+
+def _links_apart(named: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Links between nodes that are not in their hub's group and others of the hub.
+
+    named: hub, node, group, apart. All that share a bucket have its hub in common, so
+    comparing within hubs leaves out nothing. A hub's nodes are cut into blocks of
+    about HUB_BLOCK, and each pair of blocks is a task's work of its own; pairs are
+    compared inside it and only links that join groups come out.
+    """
+    count = named.groupBy("hub").agg(F.count("*").alias("all"), F.sum(F.col("apart").cast("int")).alias("some"))
+    blocks = count.where("some > 0 AND all > 1").select(
+        "hub", F.ceil(F.col("some") / HUB_BLOCK).cast("int").alias("left"), F.ceil(F.col("all") / HUB_BLOCK).cast("int").alias("right")
+    )
+    rows = named.join(blocks, "hub").join(sequences, "node")
+    to = lambda many: F.sequence(F.lit(0), F.col(many) - 1)
+    own = lambda many: F.pmod(F.xxhash64("node"), F.col(many)).cast("int")
+    ones = rows.where("apart").select("hub", own("left").alias("i"), F.explode(to("right")).alias("j"), "node", "group",
+                                      F.lit(True).alias("apart"), "items")
+    others = rows.select("hub", F.explode(to("left")).alias("i"), own("right").alias("j"), "node", "group",
+                         F.lit(False).alias("apart"), "items")
+    keys = ["hub", "i", "j"]
+    tasks = ones.union(others).repartition(*keys).sortWithinPartitions(*keys)
+    return staged(tasks.mapInArrow(_tested, "a long, b long"), "links")
+
+
 def _lengths_allow(one: str, other: str):
     return (F.least(one, other) * 10 >= F.greatest(one, other) * 8)
 
@@ -210,11 +314,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     rows = staged(nodes.select("node", "id", "n", F.explode("sketch").alias("bucket")), "buckets")
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = staged(rows.join(sizes, "bucket"), "shared")
+    # the text that others are copies of shares most sketches with them: the best hub
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
     hubs = (
-        rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size"))
-        .where("size > 1").select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+        shared.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("hub"))
+        .select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     )
-    shared = staged(rows.join(hubs, "bucket"), "shared")
+    shared = staged(shared.join(hubs, "bucket"), "shared")
     wanted = shared.select("id").distinct()
     bits = spark.sparkContext.broadcast(bitmap(wanted, shared.select("node").distinct().count()))
     sequences = staged(
@@ -232,18 +340,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = shared.join(left, "node", "left").withColumn("group", F.coalesce("group", "node"))
     hub_group = left.select(F.col("node").alias("hub"), F.col("group").alias("hub_group"))
     named = named.join(hub_group, "hub", "left").withColumn("hub_group", F.coalesce("hub_group", "hub"))
-    named = staged(named.select("bucket", "node", "n", "group", "hub", "hub_group"), "named")
-    apart = named.where("group <> hub_group").select(
-        "bucket", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("group").alias("a_group")
-    )
-    second = (
-        apart.join(named.where("node <> hub").withColumnRenamed("node", "b"), "bucket")
-        .where(F.col("a_group") != F.col("group"))
-        .where((F.col("group") == F.col("hub_group")) | (F.col("a") < F.col("b")))
-        .where(_lengths_allow("a_n", "n"))
-        .select("a", "b").distinct()
-    )
-    links = links.union(_links(second, sequences))
+    named = named.where("node <> hub").select("hub", "node", "group", (F.col("group") != F.col("hub_group")).alias("apart"))
+    named = staged(named.distinct(), "named")
+    links = links.union(_links_apart(named, sequences))
     groups = connected(links)
     grouped = (
         members.select("id", "tag", "node")
