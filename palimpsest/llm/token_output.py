@@ -37,7 +37,7 @@ LONGEST = 16
 EVERY = 64
 BLOCK_TOKENS = 1 << 16
 #: Pieces a worker remembers, and pieces in one call of the library.
-KEPT, TOGETHER = 250_000, 256
+KEPT, TOGETHER = 800_000, 256
 
 
 class Pieces:
