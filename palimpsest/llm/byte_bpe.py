@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from palimpsest.llm.words import column, hash_spans, kinds, mix, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-KEPT = 300_000
+KEPT = 150_000
 #: What the pattern's \s stands for.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -199,7 +199,7 @@ def vocabulary(path: str) -> Vocabulary:
         return Vocabulary(lines.read())
 
 
-_MERGED: dict[int, np.ndarray] = {}
+_MERGED: dict[int, bytes] = {}
 
 
 def encode_slice(texts: pa.Array, words: Vocabulary, merged: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -220,11 +220,11 @@ def encode_slice(texts: pa.Array, words: Vocabulary, merged: dict) -> tuple[np.n
         if ids is None:
             if len(merged) >= KEPT:
                 merged.clear()
-            ids = merged[key] = np.array(words.merge(bytes(data[starts[at] : ends[at]])), np.uint32)
+            ids = merged[key] = np.array(words.merge(bytes(data[starts[at] : ends[at]])), np.uint32).tobytes()
         parts.append(ids)
     if parts:
-        sizes = np.array([len(x) for x in parts])
-        flat, begin = np.concatenate(parts), np.cumsum(sizes) - sizes
+        sizes = np.array([len(x) // 4 for x in parts])
+        flat, begin = np.frombuffer(b"".join(parts), np.uint32), np.cumsum(sizes) - sizes
         counts[missed] = sizes[inverse]
     stop = np.cumsum(counts)
     out = np.empty(int(stop[-1]), np.uint32)
