@@ -51,7 +51,7 @@ REVISIONS = {
                               ELSE 1 + conv_id % 97 END""",
     "contributor_name": "CASE WHEN role <> 'system' AND (conv_id + turn) % 11 >= 2 THEN role END",
     "contributor_ip": "CASE WHEN role = 'system' THEN concat('192.0.2.', turn % 256) END",
-    "timestamp": """concat('2017-03-19T', lpad(cast((turn div 60) % 24 as string), 2, '0'), ':',
+    "timestamp": """concat('2019-11-05T', lpad(cast((turn div 60) % 24 as string), 2, '0'), ':',
                            lpad(cast(turn % 60 as string), 2, '0'), ':00Z')""",
     "text": r"""CASE (conv_id + turn) % 9 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN ' \n\t '
                      WHEN 3 THEN concat('  ', text, '\n\n')
@@ -109,7 +109,7 @@ def _revision_xml(damaged: bool) -> Column:
              ELSE concat('      <text bytes="', octet_length({REVISIONS["text"]}),
                          '" xml:space="preserve">', {_escaped(REVISIONS["text"])}, '</text>') END,
         CASE WHEN turn % 2 = 1 THEN '      <model>wikitext</model>' END,
-        '      <sha1>8pfm5bgclg41gvdiv2ro69rsin2xpku</sha1>',
+        '      <sha1>0000000000000000000000000000000</sha1>',
         CASE WHEN NOT ({open_end}) THEN '    </revision>' END)"""
     )
 

@@ -22,7 +22,7 @@ revisions AS (
       AS contributor_id,
     CASE WHEN role = 'system' OR who IN (0, 1) THEN NULL ELSE role END AS contributor_name,
     CASE WHEN role = 'system' THEN '192.0.2.' || (turn % 256) END AS contributor_ip,
-    '2017-03-19T' || lpad(CAST((turn // 60) % 24 AS VARCHAR), 2, '0') || ':'
+    '2019-11-05T' || lpad(CAST((turn // 60) % 24 AS VARCHAR), 2, '0') || ':'
       || lpad(CAST(turn % 60 AS VARCHAR), 2, '0') || ':00Z' AS "timestamp",
     CASE text_kind WHEN 0 THEN NULL WHEN 1 THEN NULL
       WHEN 2 THEN ' ' || chr(10) || chr(9) || ' '
@@ -150,8 +150,8 @@ EXPECTED = {
             CASE WHEN turn > 0 THEN '' || (turn - 1) END AS parent_id,
             CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN conv_id || 'a'
               ELSE '' || conv_id END AS contributor_id,
-            CASE conv_id % 6 WHEN 0 THEN 'March 19 2017' WHEN 1 THEN '2017-03-19T04:23:23+02:00'
-              ELSE '2017-03-19T04:23:23Z' END AS stamp,
+            CASE conv_id % 6 WHEN 0 THEN 'November 5 2019' WHEN 1 THEN '2019-11-05T07:41:09+02:00'
+              ELSE '2019-11-05T07:41:09Z' END AS stamp,
             '' || conv_id AS page_id,
             CASE WHEN conv_id % 8 = 0 THEN '99999999999' ELSE '' || (conv_id % 3) END AS page_ns
           FROM conversations),

@@ -239,8 +239,8 @@ def retype_query(spark: SparkSession, sf_dir: str) -> DataFrame:
            ELSE cast(conv_id AS string) END AS contributor_id""",
         "role AS contributor_name",
         "cast(NULL AS string) AS contributor_ip",
-        """CASE conv_id % 6 WHEN 0 THEN 'March 19 2017' WHEN 1 THEN '2017-03-19T04:23:23+02:00'
-           ELSE '2017-03-19T04:23:23Z' END AS timestamp""",
+        """CASE conv_id % 6 WHEN 0 THEN 'November 5 2019' WHEN 1 THEN '2019-11-05T07:41:09+02:00'
+           ELSE '2019-11-05T07:41:09Z' END AS timestamp""",
         "text",
         "cast(NULL AS string) AS comment",
         "cast(conv_id AS string) AS page_id",

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # What a text strip removes, and the estimate for the small fields.
 WHITESPACE = " \t\n\r\x0b\x0c"
 ROW_OVERHEAD_BYTES = 300
+# Fixed value: date and time of ISO-8601, to the second or finer, with a zone.
+INSTANT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:?\d\d)$"
 
 
 def strip(value: Column) -> Column:
@@ -33,8 +35,11 @@ def to_integer(value: Column, type_name: str = "bigint") -> Column:
 
 
 def to_instant(value: Column) -> Column:
-    """Instant of an ISO-8601 text, or null if it is not one."""
-    return F.try_to_timestamp(value)
+    """Instant of an ISO-8601 date and time with its zone, or null if it is not one.
+
+    Without the check Spark would complete a bare year, or a bare time with today's date.
+    """
+    return F.when(value.rlike(INSTANT), F.try_to_timestamp(value))
 
 
 def or_fail(converted: Column, original: Column, name: str) -> Column:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from palimpsest.operators import integrity, quality
 from palimpsest.operators.retype import retype
-from palimpsest.sources.history import read_records, stage_history, staged_history
-from palimpsest.sources.manifest import append_to_ledger
+from palimpsest.sources.history import (
+    no_records, read_records, stage_history, staged_history, unclosed_files,
+)
+from palimpsest.sources.manifest import append_to_ledger, read_ledger
 from palimpsest.sources.staged_files import digest_staged, list_staged
 from palimpsest.workspace import new_location
 
@@ -22,6 +25,10 @@ class Ingested:
     quarantined: DataFrame
     files: DataFrame
     refetch: DataFrame
+    #: The revisions as the dump's own strings, for CSV.
+    raw: DataFrame
+    #: Files that end before their root element does.
+    unclosed: DataFrame
 
 
 def ingest_dump(
@@ -34,13 +41,19 @@ def ingest_dump(
     glob: str | None = None,
     name: Column | None = None,
     quarantine: bool = False,
+    strict_elements: bool = False,
+    require_all: bool = False,
 ) -> Ingested:
     """Verify the staged files, then read those that are wanted and good.
 
-    ``wanted`` has a ``name`` per file of the dump. Files in ``ledger`` are
-    trusted without reading them; with ``ledger_path`` the names verified now are
-    added there. Unless ``quarantine`` is set, malformed input fails the job.
+    ``wanted`` has a ``name`` per file of the dump. Files in ``ledger``, or in the
+    one at ``ledger_path`` if there is one, are trusted without reading them; the
+    names verified now are added there. Unless ``quarantine`` is set, malformed
+    input and files that end early fail the job. ``require_all`` fails it if a
+    wanted file is missing or not good. Two staged files of one name always do.
     """
+    if ledger is None and ledger_path is not None:
+        ledger = read_ledger(spark, ledger_path)
     if ledger is None:
         status = integrity.verify(digest_staged(spark, staged, glob, name), manifest)
     else:
@@ -51,15 +64,25 @@ def ingest_dump(
     status.select("name", "path", "status").write.parquet(files_at)
     files = spark.read.parquet(files_at)
 
+    twice = files.groupBy("name").count().where("count > 1").select("name").take(5)
+    if twice:
+        raise ValueError(f"staged more than once: {', '.join(row.name for row in twice)}")
+    refetch = integrity.refetch_list(wanted.select("name"), files)
+    missing = refetch.take(5) if require_all else []
+    if missing:
+        raise ValueError(f"wanted files not staged or not good: {', '.join(r.name for r in missing)}")
     good = integrity.good_files(files).join(wanted.select("name").distinct(), "name", "left_semi")
     # The reader takes paths from the driver, which lists the same files anyway.
-    paths = sorted(row.path for row in good.select("path").toLocalIterator())
+    paths = sorted(as_literal(row.path) for row in good.select("path").toLocalIterator())
     rows_at = new_location(spark, "history")
-    if paths:
-        stage_history(read_records(spark, paths), rows_at)
-        rows = staged_history(spark, rows_at)
-    else:
-        raise ValueError("none of the wanted files is staged and good")
+    # Without good files there are no rows, and the refetch list says what to fetch.
+    records = read_records(spark, paths) if paths else no_records(spark)
+    stage_history(records, rows_at)
+    rows = staged_history(spark, rows_at, strict_elements)
+    unclosed = unclosed_files(spark, rows_at)
+    early = [] if quarantine else unclosed.take(5)
+    if early:
+        raise ValueError(f"files that end early: {', '.join(row.file_name for row in early)}")
     if ledger_path is not None:
         append_to_ledger(files.where(f"status = '{integrity.VERIFIED}'"), ledger_path)
     raw = quality.sound_rows(rows) if quarantine else quality.revisions_or_fail(rows)
@@ -67,5 +90,12 @@ def ingest_dump(
         revisions=retype(quality.fields_only(raw)),
         quarantined=quality.quarantined_rows(rows),
         files=files,
-        refetch=integrity.refetch_list(wanted.select("name"), files),
+        refetch=refetch,
+        raw=quality.fields_only(raw),
+        unclosed=unclosed,
     )
+
+
+def as_literal(path: str) -> str:
+    """The path with what file globs would read otherwise escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

@@ -41,6 +41,7 @@ XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord":
 UNREADABLE = "unreadable revision"
 NO_PAGE_HEADER = "incomplete page header"
 MISSING_ELEMENT = "missing contributor or text"
+MISSING_FIELD = "missing id or timestamp"
 
 _SOURCE = ["file_path", "file_name", "block_start"]
 _HEADER = ["page_title", "page_ns", "page_id"]
@@ -57,6 +58,7 @@ _ROWS = (
     + ", ".join(f"{name} string" for name in FIELDS)
     + ", page_known string"
 )
+_CUT = "file_path string, block_start long, seq long, cut boolean"
 _BLOCKS = "file_path string, block_start long, page_title string, page_ns string, page_id string"
 
 # Rows with and without a page are written side by side rather than sorted first.
@@ -68,6 +70,12 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return with_source(spark.read.option("lineSep", RECORD_END).text(path))
 
 
+def no_records(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [], "value string, file_path string, file_name string, block_start long"
+    )
+
+
 def with_source(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
@@ -248,6 +256,14 @@ def stage_history(
         spark.conf.set(CONCURRENT_WRITERS, writers)
     staged = spark.read.schema(_ROWS).parquet(rows_at)
     open_pages(staged).write.mode(mode).parquet(blocks_at)
+    cut_revisions(staged).write.mode(mode).parquet(f"{location}/cut/{part}")
+
+
+def cut_revisions(rows: DataFrame) -> DataFrame:
+    """Where a file ends inside a revision: what follows the last one's end is none."""
+    last = F.max(F.struct("block_start", "seq", "is_revision")).alias("last")
+    by_file = rows.groupBy("file_path").agg(last).where("last.is_revision")
+    return by_file.select("file_path", "last.block_start", "last.seq", F.lit(True).alias("cut"))
 
 
 def open_pages(rows: DataFrame) -> DataFrame:
@@ -286,13 +302,20 @@ def staged_history(
         .join(blocks, ["file_path", "block_start"], "left")
         .select(*known.columns)
     )
-    problem = F.when(~F.col("readable"), UNREADABLE).when(
-        F.col("page_title").isNull() | F.col("page_ns").isNull() | F.col("page_id").isNull(),
-        NO_PAGE_HEADER,
+    problem = (
+        F.when(~F.col("readable") | F.col("cut").isNotNull(), UNREADABLE)
+        .when(
+            F.col("page_title").isNull() | F.col("page_ns").isNull() | F.col("page_id").isNull(),
+            NO_PAGE_HEADER,
+        )
+        .when(F.col("id").isNull() | F.col("timestamp").isNull(), MISSING_FIELD)
     )
     if strict_elements:
         problem = problem.when(~F.col("complete"), MISSING_ELEMENT)
-    return known.unionByName(repaired).select(
+    # At most a row for each file that was cut off.
+    cut = spark.read.schema(_CUT).parquet(f"{location}/cut/{part}")
+    every = known.unionByName(repaired).join(cut, ["file_path", "block_start", "seq"], "left")
+    return every.select(
         *FIELDS, *_SOURCE, "seq", problem.alias("problem"), "malformed_xml"
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,13 @@ def manifest_by_name(manifest: DataFrame) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Names verified in earlier runs, one row each."""
-    lines = spark.read.text(path)
+    """Names verified in earlier runs, one row each; none if there is no ledger yet."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "name string")
     return lines.select(strip(F.col("value")).alias("name")).where("name <> ''").distinct()
 
 

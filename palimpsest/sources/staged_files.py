@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -11,11 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions.links import base_name
+from palimpsest.workspace import ship_library
 
-# Up to here a file's bytes are hashed as one value in the JVM; a larger file is
-# read in pieces, so that no row ever holds it whole.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 PIECE_BYTES = 8 * 1024 * 1024
+# Hadoop's names of schemes, and those the task's file systems know.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+READABLE = ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs")
+#: From a path to a file system that is open in the task, and the path inside it.
+Opener = Callable[[str], tuple[fs.FileSystem, str]]
 
 
 def _binary_files(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
@@ -41,37 +45,51 @@ def digest_staged(
     path: str | list[str],
     glob: str | None = None,
     name: Column | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    opener: Opener | None = None,
 ) -> DataFrame:
-    """``name``, ``path``, ``md5`` of every file under ``path``.
+    """``name``, ``path``, ``md5`` of every file under ``path``, whatever its size."""
+    return digest_paths(list_staged(spark, path, glob, name), opener)
 
-    The length limit is pushed into the scan, so the bytes of larger files are
-    not loaded by the first branch.
-    """
-    label = base_name(F.col("path")) if name is None else name
-    files = _binary_files(spark, path, glob)
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        label.alias("name"), "path", F.md5("content").alias("md5")
-    )
-    listed = files.where(F.col("length") > whole_file_bytes)
-    large = digest_paths(listed.select(label.alias("name"), "path", "length"))
-    return small.unionByName(large)
 
+def digest_paths(listing: DataFrame, opener: Opener | None = None) -> DataFrame:
+    """``name``, ``path``, ``md5`` of the listed files, each read in pieces by one task.
 
-def digest_paths(listing: DataFrame) -> DataFrame:
-    """``name``, ``path``, ``md5`` of the listed files, each read in pieces by one task."""
+    ``opener`` replaces the choice of the file system, for stores that need
+    credentials or that ``open_path`` does not know; an unknown scheme fails on the
+    driver, before any task runs.
+    """
+    if opener is None:
+        scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+        for row in listing.select(scheme.alias("scheme")).distinct().collect():
+            known_scheme(row.scheme or "file")
+    ship_library(listing.sparkSession)
     spread = listing.select("name", "path").repartition("path")
-    return spread.mapInArrow(_digester(), "name string, path string, md5 string")
+    return spread.mapInArrow(_digester(opener), "name string, path string, md5 string")
+
+
+def known_scheme(scheme: str) -> str:
+    """The scheme as the task's file systems call it."""
+    known = SCHEMES.get(scheme, scheme)
+    if known not in READABLE:
+        raise ValueError(f"no file system for {scheme}: paths; give an opener")
+    return known
+
+
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark lists it, and the path inside it."""
+    found = re.match("^([A-Za-z][A-Za-z0-9+.-]*):(.*)$", path, re.DOTALL)
+    if not found or found[1] == "file":
+        inner = found[2] if found else path
+        return fs.LocalFileSystem(), "/" + inner.lstrip("/")
+    return fs.FileSystem.from_uri(f"{known_scheme(found[1])}:{found[2]}")
 
 
-def _digester(piece_bytes: int = PIECE_BYTES):
+def _digester(opener: Opener | None = None, piece_bytes: int = PIECE_BYTES):
     """The function the tasks run; defined here so that Spark ships it by value."""
+    open_file = opener or open_path
 
     def md5_of(path: str) -> str:
-        if path.startswith(("file:", "/")):
-            filesystem, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-        else:
-            filesystem, inner = fs.FileSystem.from_uri(path)
+        filesystem, inner = open_file(path)
         digest = hashlib.md5()
         with filesystem.open_input_stream(inner, compression=None) as stream:
             while piece := stream.read(piece_bytes):

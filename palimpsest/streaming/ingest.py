@@ -25,6 +25,7 @@ def stream_history(
     clean_source: str = "off",
     archive: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    max_file_age: str = "36500d",
 ) -> StreamingQuery:
     """Stage the files under ``path`` that are new; stops when there are no more.
 
@@ -32,12 +33,15 @@ def stream_history(
     is fed as files arrive; it is called again with the same number if the batch
     is replayed. ``clean_source`` (``delete``, or ``archive`` with a folder)
     removes files once taken, which Spark does while later batches run: the
-    files of the last batch stay.
+    files of the last batch stay. Files are taken whatever their age: Spark would
+    pass over those much older than the newest it has seen, which ``max_file_age``
+    puts off by a century.
     """
     reader = spark.readStream.option("lineSep", RECORD_END).option(
         "maxFilesPerTrigger", files_per_batch
     )
     reader = reader.option("recursiveFileLookup", "true").option("cleanSource", clean_source)
+    reader = reader.option("maxFileAge", max_file_age)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if archive is not None:

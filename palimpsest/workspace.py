@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -29,3 +32,17 @@ def shared_folder(spark: SparkSession) -> str:
 def new_location(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder; nothing is created there yet."""
     return f"{shared_folder(spark)}/palimpsest/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark application.
+
+    Tasks that call its functions then find it wherever the driver was started from.
+    """
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    archive = f"{tempfile.mkdtemp(prefix='palimpsest-')}/{package.name}"
+    context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))

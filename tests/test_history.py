@@ -22,29 +22,44 @@ def by_id(rows):
     return {r["id"]: r for r in rows}
 
 
-def test_two_pages_three_revisions(spark, tmp_path):
+def test_pages_and_revisions(spark, tmp_path):
+    named = "<username>Ada &amp; Co</username><id>900</id>"
     path = write(
         tmp_path / "a.xml.bz2",
         export(
-            page("11", "First &amp; best", "1", [
-                revision("101", who="<ip>192.168.0.1</ip>", text="hi"),
-                revision("102", "101", who="<username>Somebody</username><id>5</id>", text="hi hi"),
-            ], more='    <redirect title="Elsewhere" />\n'),
-            page("12", "Second", "2", [
-                revision("103", who="<username>Other</username><id>6</id>",
-                         comment="<comment>sometimes</comment>", text=""),
+            page("70", "Rivers", "0", [revision("7001", who=named, text="The Elbe\nand others")]),
+            page("71", "Talk:Rivers", "1", [
+                revision("7102", who="<ip>2001:db8::7</ip>", comment="<comment>/* Elbe */</comment>"),
+                revision("7103", "7102", who=named, text="See [[Rivers]]"),
+                revision("7104", "7103", who="<ip>2001:db8::8</ip>", text=""),
             ]),
+            page("72", "Streams", "0", [revision("7205", who=named, text="#REDIRECT")],
+                 more='    <redirect title="Rivers" />\n'),
         ),
     )
     rows = read_history(spark, path)
     assert rows.columns[: len(FIELDS)] == FIELDS
-    got = [tuple(r) for r in fields_only(revisions_or_fail(rows)).orderBy("id").collect()]
-    time = "2020-01-02T03:04:05Z"
-    assert got == [
-        ("101", None, "First & best", None, None, "192.168.0.1", time, "hi", None, "11", "1"),
-        ("102", "101", "First & best", "5", "Somebody", None, time, "hi hi", None, "11", "1"),
-        ("103", None, "Second", "6", "Other", None, time, None, "sometimes", "12", "2"),
+    got = fields_only(revisions_or_fail(rows)).orderBy("id").collect()
+    assert [(r.id, r.parent_id, r.page_id, r.page_ns, r.page_title) for r in got] == [
+        ("7001", None, "70", "0", "Rivers"),
+        ("7102", None, "71", "1", "Talk:Rivers"),
+        ("7103", "7102", "71", "1", "Talk:Rivers"),
+        ("7104", "7103", "71", "1", "Talk:Rivers"),
+        ("7205", None, "72", "0", "Streams"),
     ]
+    assert [(r.contributor_id, r.contributor_name, r.contributor_ip) for r in got[:3]] == [
+        ("900", "Ada & Co", None), (None, None, "2001:db8::7"), ("900", "Ada & Co", None),
+    ]
+    assert got[0].text == "The Elbe\nand others" and got[3].text is None
+    assert got[1].comment == "/* Elbe */" and got[2].comment is None
+    assert {r.timestamp for r in got} == {"2020-01-02T03:04:05Z"}
+
+
+def test_revision_that_the_file_ends_in(spark, tmp_path):
+    whole = export(page("1", "P", "0", [revision("10", text="a"), revision("11", text="b")]))
+    cut = whole[: whole.rindex("<text")] + "\n"
+    rows = rows_of(spark, write(tmp_path / "a.xml.bz2", cut))
+    assert [(r["id"], r["problem"]) for r in rows] == [("10", None), ("11", history.UNREADABLE)]
 
 
 TEXTS = [
@@ -165,11 +180,11 @@ def test_missing_elements(spark, tmp_path):
     text = export(page(revisions=[revision("1"), bare, untexted, revision(None, time=None)]))
     path = write(tmp_path / "a.xml", text)
     lenient = rows_of(spark, path)
-    assert [r["problem"] for r in lenient] == [None] * 4
+    assert [r["problem"] for r in lenient] == [None, None, None, history.MISSING_FIELD]
     assert (lenient[3]["id"], lenient[3]["timestamp"]) == (None, None)
     strict = rows_of(spark, path, strict_elements=True)
     assert [r["problem"] for r in strict] == [
-        None, history.MISSING_ELEMENT, history.MISSING_ELEMENT, None
+        None, history.MISSING_ELEMENT, history.MISSING_ELEMENT, history.MISSING_FIELD
     ]
 
 

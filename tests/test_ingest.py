@@ -53,5 +53,8 @@ def test_malformed_input_fails_by_default(spark, dump):
 
 def test_nothing_good(spark, dump):
     wanted, manifest, staged, _ = dump
-    with pytest.raises(ValueError):
-        ingest_dump(spark, wanted.where("name = 'h2.xml.bz2'"), manifest, staged)
+    empty = manifest.where("false")
+    done = ingest_dump(spark, wanted, empty, staged)
+    assert done.revisions.count() == 0 and done.refetch.count() == wanted.count()
+    with pytest.raises(ValueError, match="not staged or not good"):
+        ingest_dump(spark, wanted, empty, staged, require_all=True)

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.sources.staged_files import known_scheme, open_path
 from palimpsest import (
     append_to_ledger, clear_ledger, digest_staged, history_links, list_staged, listing_links,
     read_ledger, read_listing, read_manifest, refetch_list, verify, verify_unless_trusted,
@@ -76,10 +77,10 @@ def staged(tmp_path):
     return str(folder), {n: hashlib.md5(c).hexdigest() for n, c in files.items()}
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 100, 10**9])
-def test_digests_whole_or_in_pieces(spark, staged, whole_file_bytes):
+@pytest.mark.parametrize("opener", [None, lambda path: open_path(path)])
+def test_digests(spark, staged, opener):
     path, expected = staged
-    found = digest_staged(spark, path, glob="*.bz2", whole_file_bytes=whole_file_bytes)
+    found = digest_staged(spark, path, glob="*.bz2", opener=opener)
     assert {r["name"]: r["md5"] for r in found.collect()} == expected
     assert found.count() == len(expected)
 
@@ -121,3 +122,14 @@ def test_ledger_saves_reading(spark, staged, tmp_path):
     }
     clear_ledger(spark, ledger_path)
     assert read_ledger(spark, ledger_path).isEmpty()
+
+
+def test_schemes():
+    assert known_scheme("s3a") == known_scheme("s3n") == "s3"
+    assert open_path("file:/a/b c")[1] == open_path("/a/b c")[1] == "/a/b c"
+    with pytest.raises(ValueError, match="dbfs"):
+        known_scheme("dbfs")
+
+
+def test_ledger_that_is_not_there_is_empty(spark, tmp_path):
+    assert read_ledger(spark, str(tmp_path / "none")).count() == 0

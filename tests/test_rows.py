@@ -1,3 +1,5 @@
+from palimpsest.functions.values import to_instant
+from pyspark.sql import functions as F
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from palimpsest.functions.values import row_size
 
 GOOD = {
     "id": "5", "parent_id": None, "page_title": "T", "contributor_id": "", "contributor_name": None,
-    "contributor_ip": "::1", "timestamp": "2017-03-19T04:23:23Z", "text": None, "comment": "c",
+    "contributor_ip": "::1", "timestamp": "2019-11-05T07:41:09Z", "text": None, "comment": "c",
     "page_id": "9", "page_ns": "-1",
 }
 
@@ -20,18 +22,18 @@ def raw(spark, *changes):
 
 
 def test_retype(spark):
-    typed = retype(raw(spark, {}, {"id": " 7 ", "timestamp": "2017-03-19T06:23:23+02:00"}))
+    typed = retype(raw(spark, {}, {"id": " 7 ", "timestamp": "2019-11-05T09:41:09+02:00"}))
     assert [f.dataType for f in typed.schema] == [f.dataType for f in TYPED_SCHEMA]
     rows = typed.withColumn("seconds", F.unix_seconds("timestamp")).collect()
     assert [(r.id, r.parent_id, r.contributor_id, r.page_ns, r.seconds) for r in rows] == [
-        (5, None, None, -1, 1489897403), (7, None, None, -1, 1489897403)
+        (5, None, None, -1, 1572939669), (7, None, None, -1, 1572939669)
     ]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize(
     "bad", [{"id": "1.5"}, {"id": "x"}, {"parent_id": ""}, {"contributor_id": "7a"},
-            {"timestamp": "March 19 2017"}, {"page_ns": "99999999999"}],
+            {"timestamp": "November 5 2019"}, {"page_ns": "99999999999"}],
 )
 def test_bad_value_fails_or_is_rejected(spark, setting, ansi, bad):
     setting("spark.sql.ansi.enabled", ansi)
@@ -68,3 +70,9 @@ def test_counts_have_a_total(spark):
     rows = spark.range(10).selectExpr("concat('f', id % 3) AS file_name")
     found = {r["file"]: r["revisions"] for r in revision_counts(rows).collect()}
     assert found == {"f0": 4, "f1": 3, "f2": 3, None: 10}
+
+
+def test_only_dates_with_times_are_instants(spark):
+    texts = ["2019-11-05T07:41:09Z", "2019-11-05T07:41:09.5+01:00", "2019", "2019-11", "07:41:09", "2019-11-05"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(to_instant(F.col("t")).alias("i"))
+    assert [r.i is not None for r in rows.collect()] == [True, True, False, False, False, False]

@@ -36,6 +36,8 @@ def test_new_files_only(spark, tmp_path):
     run()
     assert fed == [0, 1, 2]
     dump(source, 4)
+    long_ago = os.stat(source / "4.xml.bz2").st_mtime - 30 * 86400
+    os.utime(source / "4.xml.bz2", (long_ago, long_ago))
     run()
     assert fed == [0, 1, 2, 3]
     rows = fields_only(streamed_history(spark, staging))
