@@ -18,9 +18,11 @@ from palimpsest.llm import (
     topk_search,
     toxicity,
 )
+from palimpsest.workspace import ship_library
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_library(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -79,6 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_library(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 
