@@ -47,8 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
-    encoded = byte_bpe.encode(docs.select("doc_id", "source", "text"))
-    return byte_bpe.decode(encoded).select(
+    return byte_bpe.encode_and_decode(docs.select("doc_id", "source", "text")).select(
         "doc_id", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -31,6 +31,7 @@ from palimpsest.llm.words import column, hash_spans, kinds, mix, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 KEPT = 150_000
+SLICE_BYTES = 1 << 18
 #: What the pattern's \s stands for.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -259,7 +260,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
     words = shared.value
     for batch in batches:
         texts = column(batch, "text")
-        for low, high in slices(texts):
+        for low, high in slices(texts, SLICE_BYTES):
             ids, ends = encode_slice(texts[low:high], words, _MERGED)
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc")[low:high], _binary(ids.astype("<u4"), ends),
@@ -268,19 +269,34 @@ def _encoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
             )
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """As _encoded, and what the ids decode to, in one pass over the texts."""
+    words = shared.value
+    for batch in _encoded(batches, shared):
+        values, ends = _ids(column(batch, "ids"))
+        found, stop = decode_ids(values, words)
+        yield batch.append_column("decoded", _binary(found, np.concatenate([[0], stop])[ends]))
+
+
+def _ids(column_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, and where those of each row end."""
+    part = pc.fill_null(column_.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(part.buffers()[1], np.int64, len(part) + 1, part.offset * 8)
+    count = int(offsets[-1] - offsets[0]) // 4
+    values = np.frombuffer(part.buffers()[2], "<u4", count, int(offsets[0])) if count else np.empty(0, "<u4")
+    return values, (offsets[1:] - offsets[0]) // 4
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     words = shared.value
     for batch in batches:
         ids = column(batch, "ids")
         for low, high in slices(ids):
-            part = pc.fill_null(ids[low:high].cast(pa.large_binary()), b"")
-            offsets = np.frombuffer(part.buffers()[1], np.int64, len(part) + 1, part.offset * 8)
-            raw = part.buffers()[2]
-            values = np.frombuffer(raw, "<u4", (offsets[-1] - offsets[0]) // 4, offsets[0]) if raw else np.empty(0, "<u4")
+            values, ends = _ids(ids[low:high])
             found, stop = decode_ids(values, words)
-            ends = np.concatenate([[0], stop])[(offsets[1:] - offsets[0]) // 4]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc")[low:high], _binary(found, ends)], names=["doc", "decoded"]
+                [column(batch, "doc")[low:high], _binary(found, np.concatenate([[0], stop])[ends])],
+                names=["doc", "decoded"],
             )
 
 
@@ -312,10 +328,19 @@ def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
     return whole.mapInArrow(lambda it: _decoded(it, shared), schema).select("doc.*", "decoded")
 
 
+def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``encode``, then ``decode``, in one pass: ids, n_tokens and decoded."""
+    shared = _shared(docs, path)
+    docs = docs.drop("ids", "n_tokens", "decoded")
+    whole = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
+    schema = _schema(whole, ("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.BinaryType()))
+    rows = whole.mapInArrow(lambda it: _round_trip(it, shared), schema)
+    return rows.select("doc.*", "ids", "n_tokens", "decoded")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
-    encoded = encode(docs.select("doc_id", "text"))
-    return decode(encoded).select(
+    return encode_and_decode(docs.select("doc_id", "text")).select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

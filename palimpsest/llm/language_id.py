@@ -35,6 +35,7 @@ BUCKETS = 1 << 16
 STEPS = 40
 UNKNOWN = "und"
 BLOCK = 64
+SLICE_BYTES = 1 << 18
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -218,9 +219,9 @@ def train(docs: DataFrame) -> Tagger | None:
 def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     tagger: Tagger | None = model.value
     for batch in batches:
-        texts = lowered(column(batch, "text"))
+        texts = lowered(column(batch, "doc").field("text"))
         letters = column(batch, "letters").to_numpy(zero_copy_only=False)
-        for low, high in slices(texts):
+        for low, high in slices(texts, SLICE_BYTES):
             langs = np.full(high - low, UNKNOWN, object)
             scores = np.zeros(high - low)
             words = words_of(texts[low:high])
@@ -246,7 +247,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBa
 def predict(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """The documents with ``lang_pred`` and ``score``."""
     docs = docs.drop("lang_pred", "score")
-    whole = docs.select(F.struct("*").alias("doc"), "text")
+    whole = docs.select(F.struct("*").alias("doc"))
     model = docs.sparkSession.sparkContext.broadcast(tagger)
     schema = T.StructType(
         [
@@ -255,6 +256,6 @@ def predict(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
             T.StructField("score", T.DoubleType()),
         ]
     )
-    letters = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("letters")
-    rows = whole.select("doc", "text", letters).mapInArrow(lambda it: _predicted(it, model), schema)
+    letters = F.coalesce(F.col("doc.text").rlike("\\p{L}"), F.lit(False)).alias("letters")
+    rows = whole.select("doc", letters).mapInArrow(lambda it: _predicted(it, model), schema)
     return rows.select("doc.*", "lang_pred", "score")

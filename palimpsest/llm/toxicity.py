@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer | None:
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     scorer: Scorer | None = model.value
     for batch in batches:
-        texts = lowered(column(batch, "text"))
+        texts = lowered(column(batch, "doc").field("text"))
         for low, high in slices(texts):
             logit = np.full(high - low, scorer.bias if scorer else -np.inf)
             words = words_of(texts[low:high])
@@ -146,7 +146,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
 
 def score(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
     """The documents with ``score`` and ``predicted``."""
-    whole = docs.drop("score", "predicted").select(F.struct("*").alias("doc"), "text")
+    whole = docs.drop("score", "predicted").select(F.struct("*").alias("doc"))
     model = docs.sparkSession.sparkContext.broadcast(scorer)
     schema = T.StructType(
         [T.StructField("doc", whole.schema["doc"].dataType), T.StructField("score", T.DoubleType())]
