@@ -51,7 +51,7 @@ def character_classes() -> np.ndarray:
     return classes
 
 
-def pretokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def pretokens(texts: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts; starts and ends of their pre-tokens; each text's first pre-token."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
@@ -71,7 +71,7 @@ def pretokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         two, three = (lead & 0x1F) << 6 | b1, (lead & 0x0F) << 12 | b1 << 6 | b2
         four = (lead & 0x07) << 18 | b1 << 12 | b2 << 6 | b3
         points[wide] = np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four))
-    kind = character_classes()[points]
+    kind = classes[points]
     opens = np.zeros(len(chars) + 1, bool)  # the first characters of texts
     opens[np.searchsorted(chars, offsets)] = True
     opens = opens[:-1]
@@ -106,7 +106,7 @@ def pretokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 class Vocabulary:
-    """Entries by id, and a minimal perfect hash of them."""
+    """Entries by id, a minimal perfect hash of them, and the classes of characters."""
 
     def __init__(self, lines: bytes):
         entries = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines.splitlines())}
@@ -118,6 +118,7 @@ class Vocabulary:
         keys = hash_spans(self.bytes, self.ends - self.lengths, self.ends)
         self.buckets = max(1, len(keys) // 2)
         self._displace(keys)
+        self.classes = character_classes()
 
     def _displace(self, keys: np.ndarray) -> None:
         """Finds a displacement for each bucket, the fullest first, that lands on free slots."""
@@ -205,7 +206,7 @@ _MERGED: dict[int, bytes] = {}
 
 def encode_slice(texts: pa.Array, words: Vocabulary, merged: dict) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and where each text's ids end."""
-    data, starts, ends, first = pretokens(texts)
+    data, starts, ends, first = pretokens(texts, words.classes)
     if not len(starts):
         return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
     keys = hash_spans(data, starts, ends)

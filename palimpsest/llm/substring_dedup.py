@@ -44,7 +44,7 @@ BYTES_PER_COUNTER = 8
 LEAST_COUNTERS, MOST_COUNTERS = 1 << 20, 1 << 30
 BLOCK = 1 << 16
 #: Anchors or windows that a task gathers before it groups them.
-GATHER = 1 << 20
+GATHER = 1 << 19
 
 
 def _anchors(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
