@@ -41,25 +41,48 @@ KEPT, TOGETHER = 800_000, 256
 
 
 class Pieces:
-    """Ids of pieces of text, by the library, with a memory."""
+    """Ids of pieces of text, by the library, with a memory.
+
+    The pieces of one call are told apart by a piece between them that is always one
+    id. Where texts hold that piece themselves, the library's offsets tell.
+    """
+
+    BETWEEN = "\0"
 
     def __init__(self, json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
-        self.known: dict[int, bytes] = {}
-
-    def learn(self, keys: list[int], pieces: list[bytes]) -> None:
-        for low in range(0, len(keys), TOGETHER):
-            texts = [x.decode() for x in pieces[low : low + TOGETHER]]
-            found = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
-            ends = np.cumsum([len(x) + 1 for x in texts])
-            starts = np.array([s for s, _ in found.offsets], np.int64)
-            owner = np.searchsorted(ends, starts, "right")
-            cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-            ids = np.array(found.ids, np.uint32)
-            for k, key in enumerate(keys[low : low + TOGETHER]):
-                self.known[key] = ids[cuts[k] : cuts[k + 1]].tobytes()
+        alone = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.mark = alone[0] if len(alone) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}  # a piece's hash -> its place in ``first``
+        self.first = np.zeros(1, np.int64)  # of each piece its first id in ``pool``; one more at the end
+        self.pool = np.empty(0, np.uint32)
+
+    def _call(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some pieces, and how many each has."""
+        if self.mark is not None:
+            whole = f"\n{self.BETWEEN}\n".join(texts)
+            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(texts) - 1:
+                ends = np.append(marks - np.arange(len(marks)), len(ids) - len(marks))
+                return np.delete(ids, marks), np.diff(ends, prepend=0)
+        found = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
+        ends = np.cumsum([len(x) + 1 for x in texts])
+        starts = np.array([s for s, _ in found.offsets], np.int64)
+        owner = np.searchsorted(ends, starts, "right")
+        return np.array(found.ids, np.uint32), np.bincount(owner, minlength=len(texts))
+
+    def learn(self, keys: list[int], pieces: list[str]) -> None:
+        found = [self._call(pieces[low : low + TOGETHER]) for low in range(0, len(pieces), TOGETHER)]
+        self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys))))
+        self.pool = np.concatenate([self.pool, *(ids for ids, _ in found)])
+        sizes = np.concatenate([x for _, x in found])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END behind, and where each text's end."""
@@ -71,20 +94,19 @@ class Pieces:
         spot, inverse = kinds(hashes)
         keys = hashes[spot].tolist()
         if len(self.known) > KEPT:
-            self.known.clear()
+            self._forget()
         new = [k for k, key in enumerate(keys) if key not in self.known]
-        self.learn([keys[k] for k in new],
-                   [bytes(words.data[words.starts[spot[k]] : words.ends[spot[k]]]) for k in new])
-        parts = [self.known[key] for key in keys]
-        sizes = np.array([len(x) // 4 for x in parts])
-        flat, begin = np.frombuffer(b"".join(parts), np.uint32), np.cumsum(sizes) - sizes
-        own = sizes[inverse]
+        if new:
+            data, begin, stop = words.data.tobytes(), words.starts[spot[new]].tolist(), words.ends[spot[new]].tolist()
+            self.learn([keys[k] for k in new], [data[s:e].decode() for s, e in zip(begin, stop)])
+        place = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        own = (self.first[place + 1] - self.first[place])[inverse]
         doc = np.repeat(np.arange(len(counts)), counts)
         stop = np.cumsum(own) + doc  # an END behind each document before
-        total = int(own.sum()) + len(counts)
-        out = np.full(total, END, np.uint32)
-        step = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
-        out[np.repeat(stop - own, own) + step] = flat[np.repeat(begin[inverse], own) + step]
+        total = int(own.sum())
+        out = np.full(total + len(counts), END, np.uint32)
+        step = np.arange(total) - np.repeat(np.cumsum(own) - own, own)
+        out[np.repeat(stop - own, own) + step] = self.pool[np.repeat(self.first[place][inverse], own) + step]
         ends = np.cumsum(np.bincount(doc, own, len(counts)).astype(np.int64) + 1)
         return out, ends
 
