@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ EVERY = 64
 BLOCK_TOKENS = 1 << 16
 #: Pieces a worker remembers, and pieces in one call of the library.
 KEPT, TOGETHER = 800_000, 256
+#: Bytes of text that are worked on at once; repeated pieces are looked up once in them.
+SLICE_BYTES = 1 << 22
 
 
 class Pieces:
@@ -95,11 +98,12 @@ class Pieces:
         keys = hashes[spot].tolist()
         if len(self.known) > KEPT:
             self._forget()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
-        if new:
+        place = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = np.arange(len(self.known), len(self.known) + len(new))
             data, begin, stop = words.data.tobytes(), words.starts[spot[new]].tolist(), words.ends[spot[new]].tolist()
-            self.learn([keys[k] for k in new], [data[s:e].decode() for s, e in zip(begin, stop)])
-        place = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+            self.learn(hashes[spot[new]].tolist(), [data[s:e].decode() for s, e in zip(begin, stop)])
         own = (self.first[place + 1] - self.first[place])[inverse]
         doc = np.repeat(np.arange(len(counts)), counts)
         stop = np.cumsum(own) + doc  # an END behind each document before
@@ -126,7 +130,7 @@ def _tokenized(batches: Iterator[pa.RecordBatch], json, narrow: bool) -> Iterato
     pieces = _pieces(json.value)
     for batch in batches:
         texts = column(batch, "text")
-        for low, high in slices(texts):
+        for low, high in slices(texts, SLICE_BYTES):
             ids, ends = pieces.encode(texts[low:high])
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id")[low:high], _binary(ids.astype(np.uint16 if narrow else np.uint32), ends)],
