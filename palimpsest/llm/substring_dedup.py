@@ -151,7 +151,8 @@ def _maybe_repeated(hashes: np.ndarray, bits: np.ndarray, counters: int) -> np.n
     return found
 
 
-CANDIDATES = "d1 long, d2 long, doc_id long, tag int, start int, stop int, n int"
+#: What rows of one document have in common first, what differs last: it compresses best.
+CANDIDATES = "doc_id long, tag int, length int, n int, d1 long, d2 long, start int"
 
 
 def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
@@ -167,23 +168,23 @@ def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
     # in the order of the documents, which compresses far better than that of the hashes
     alone = np.sort(order[~twice])
 
-    def rows(d1, d2, ids, known, tags, starts, stops, n):
+    def rows(d1, d2, ids, known, tags, starts, lengths, n):
         size = len(d1)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(d1.view(np.int64)),
-                pa.array(d2.view(np.int64)),
                 pa.array(ids, mask=~known),
                 pa.array(tags),
-                pa.array(starts.astype(np.int32)) if starts is not None else pa.nulls(size, pa.int32()),
-                pa.array(stops.astype(np.int32)) if stops is not None else pa.nulls(size, pa.int32()),
+                pa.array(lengths.astype(np.int32)) if lengths is not None else pa.nulls(size, pa.int32()),
                 pa.array(np.full(size, n, np.int32)),
+                pa.array(d1.view(np.int64)),
+                pa.array(d2.view(np.int64)),
+                pa.array(starts.astype(np.int32)) if starts is not None else pa.nulls(size, pa.int32()),
             ],
             names=[x.split()[0] for x in CANDIDATES.split(", ")],
         )
 
     *single, begins = (x[alone] for x in given)
-    yield from rows(*single, begins, begins + window, 1)
+    yield from rows(*single, begins, np.full(len(begins), window), 1)
     yield from rows(d1[stand], d2[stand], ids[stand], known[stand], tags[stand], None, None, 2)
     ids, known, tags, starts = (x[twice] for x in (ids, known, tags, starts))
     order = np.lexsort((starts, tags, ids, known))
@@ -194,7 +195,7 @@ def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
         tail = np.concatenate([head[1:], [True]])
         keys = ids[head].view(np.uint64) ^ tags[head].astype(np.uint64) << np.uint64(20)
         yield from rows(mix(keys, 3), mix(starts[head].astype(np.uint64) + keys, 4), ids[head],
-                        known[head], tags[head], starts[head], starts[tail] + window, 2)
+                        known[head], tags[head], starts[head], starts[tail] + window - starts[head], 2)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], window: int, sketch) -> Iterator[pa.RecordBatch]:
@@ -283,7 +284,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         windows.withColumn("total", F.sum("n").over(Window.partitionBy("d1", "d2")))
         .where((F.col("total") > 1) & F.col("start").isNotNull())
         .groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+        .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("stop"))).alias("ranges"))
     )
     whole = docs.select(F.struct("*").alias("doc"))
     keyed = whole.withColumn("own_tag", F.hash("doc.text"))
