@@ -77,18 +77,21 @@ def _escaped(value: str) -> str:
     return value
 
 
-def _revision_xml(damaged: bool) -> Column:
+def _revision_xml(damaged: bool, lacking: bool = False) -> Column:
     who = "(conv_id + turn) % 11"
     tag = "(conv_id + turn) % 9"
     note = "(conv_id + 2 * turn) % 5"
     broken = "conv_id % 7 = 1 AND turn = 1" if damaged else "false"
     open_end = "conv_id % 7 = 2 AND turn = 1" if damaged else "false"
+    no_id = "conv_id % 5 = 3 AND turn % 3 = 1" if lacking else "false"
+    no_time = "conv_id % 4 = 3 AND turn % 3 = 2" if lacking else "false"
     return F.expr(
         f"""concat_ws('\n',
         '    <revision>',
-        concat('      <id>', {REVISIONS["id"]}, '</id>'),
+        CASE WHEN NOT ({no_id}) THEN concat('      <id>', {REVISIONS["id"]}, '</id>') END,
         concat('      <parentid>', {REVISIONS["parent_id"]}, '</parentid>'),
-        concat('      <timestamp>', {REVISIONS["timestamp"]}, '</timestamp>'),
+        CASE WHEN NOT ({no_time})
+             THEN concat('      <timestamp>', {REVISIONS["timestamp"]}, '</timestamp>') END,
         CASE WHEN role = 'system'
                THEN concat('      <contributor><ip>', {REVISIONS["contributor_ip"]},
                            '</ip></contributor>')
@@ -137,12 +140,16 @@ ROOT_XML = (
 
 def write_history(
     conversations: DataFrame, path: str, files: int, damaged: bool = False, codec: str = "bzip2",
-    turns_per_page_element: int = TURNS_PER_PAGE_ELEMENT,
+    turns_per_page_element: int = TURNS_PER_PAGE_ELEMENT, lacking: bool = False,
+    cut: bool = False,
 ) -> None:
     """Page histories in ``files`` files, ``<path>/file=<k>/...``.
 
     As in real dumps, a page with a long history is spread over several page
-    elements and files, so no file grows with one page.
+    elements and files, so no file grows with one page. ``lacking`` leaves out ids
+    and timestamps by rule. ``cut`` ends files early: those numbered 1 modulo 4
+    between two elements of their last revision, 2 after that revision, 3 inside
+    one of its elements.
     """
     spark = conversations.sparkSession
     part = F.expr(f"turn div {turns_per_page_element}")
@@ -160,7 +167,7 @@ def write_history(
     nothing = F.lit(0).cast("long")
     lines = (
         placed(pages, 1, nothing, _page_xml(damaged))
-        .unionByName(placed(turns, 2, F.col("turn"), _revision_xml(damaged)))
+        .unionByName(placed(turns, 2, F.col("turn"), _revision_xml(damaged, lacking)))
         .unionByName(placed(pages, 3, nothing, F.lit("  </page>")))
     )
     for edge, value in ((-1, ROOT_XML), (2**62, "</mediawiki>")):
@@ -170,16 +177,59 @@ def write_history(
                 F.lit(0).alias("step"), nothing.alias("turn"), F.lit(value).alias("value"),
             )
         )
+    if cut:
+        lines = _cut_off(lines)
     in_order = lines.repartition("file").sortWithinPartitions("file", *keys, "step", "turn")
     in_order.select("file", "value").write.partitionBy("file").option("compression", codec).text(path)
 
 
-def history_path(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
+def _cut_off(lines: DataFrame) -> DataFrame:
+    """Lines up to the last revision of each file not numbered 0 modulo 4, or into it."""
+    place = F.struct("conv_id", "part", "step", "turn")
+    ends = lines.where("step = 2").groupBy("file").agg(F.max(place).alias("end"))
+    known = lines.join(ends, "file", "left").where(
+        (F.col("file") % 4 == 0) | F.col("end").isNull() | (place <= F.col("end"))
+    )
+    value = F.col("value")
+    short = (
+        F.when(F.col("file") % 4 == 1, F.substring_index(value, "<text", 1))
+        .when(F.col("file") % 4 == 3, F.substring_index(value, "Z</timestamp>", 1))
+        .otherwise(value)
+    )
+    whole = F.coalesce(place != F.col("end"), F.lit(True))
+    return known.withColumn("value", F.when(whole, value).otherwise(short))
+
+
+def history_path(spark: SparkSession, sf_dir: str, kind: str = "dump") -> str:
+    """A dump of ``conversations``; kind is "dump", or "damaged", "lacking" or "cut"."""
+    cases = {} if kind == "dump" else {kind: True}
+
     def write(path: str) -> None:
         conversations = table(spark, sf_dir, "conversations")
-        write_history(conversations, path, file_count(conversations, 4), damaged)
+        write_history(conversations, path, file_count(conversations, 4), **cases)
+
+    return once(spark, sf_dir, kind, write)
+
+
+def long_pages(conversations: DataFrame) -> DataFrame:
+    """The turns as those of five pages, which then run on over many blocks."""
+    return conversations.select(
+        (F.col("conv_id") % 5).alias("conv_id"),
+        F.expr("conv_id div 5 * 1000 + turn").alias("turn"), "role", "text",
+    )
+
+
+def long_history_path(spark: SparkSession, sf_dir: str) -> str:
+    """Plain XML with a page element for each of ``long_pages``."""
+
+    def write(path: str) -> None:
+        conversations = table(spark, sf_dir, "conversations")
+        write_history(
+            long_pages(conversations), path, file_count(conversations, 4), codec="none",
+            turns_per_page_element=2**62,
+        )
 
-    return once(spark, sf_dir, "damaged-dump" if damaged else "dump", write)
+    return once(spark, sf_dir, "long-pages", write)
 
 
 def dump_file(path: Column) -> Column:

@@ -44,6 +44,13 @@ FROM revisions"""
 
 _SCAN = f"WITH {_REVISIONS} {_RAW}"
 
+# The same turns as those of five long pages.
+_LONG_SCAN = _SCAN.replace(
+    "FROM conversations",
+    "FROM (SELECT conv_id % 5 AS conv_id, conv_id // 5 * 1000 + turn AS turn, role, text "
+    "FROM conversations)",
+)
+
 # How many files the dump of conversations has, and which one a turn is in.
 _DUMP_FILES = """
 files AS (
@@ -143,6 +150,23 @@ EXPECTED = {
             WHEN conv_id % 7 IN (0, 3) THEN 'incomplete page header' ELSE 'none' END AS problem,
           count(*) AS revisions
         FROM conversations GROUP BY 1, 2""",
+    "required_fields": """WITH lacking AS (
+          SELECT conv_id, conv_id % 5 = 3 AND turn % 3 = 1 AS no_id,
+            conv_id % 4 = 3 AND turn % 3 = 2 AS no_time
+          FROM conversations)
+        SELECT CAST(conv_id AS VARCHAR) AS page_id,
+          CASE WHEN no_id OR no_time THEN 'missing id or timestamp' ELSE 'none' END AS problem,
+          count(*) AS revisions, count(*) FILTER (WHERE NOT no_id) AS ids,
+          count(*) FILTER (WHERE NOT no_time) AS timestamps
+        FROM lacking GROUP BY 1, 2""",
+    "truncated_files": f"""WITH {_DUMP_FILES}, by_file AS (
+          SELECT {_DUMP_FILE} AS k, count(*) AS revisions FROM conversations GROUP BY 1)
+        SELECT CAST(k AS VARCHAR) AS dump_file,
+          revisions - CASE WHEN k % 4 IN (1, 3) THEN 1 ELSE 0 END AS sound,
+          CAST(CASE WHEN k % 4 IN (1, 3) THEN 1 ELSE 0 END AS BIGINT) AS unreadable, revisions,
+          k % 4 <> 0 AS ends_early
+        FROM by_file""",
+    "split_scan": _LONG_SCAN,
     "retype": f"""WITH raw AS (
           SELECT conv_id, turn,
             CASE (conv_id + turn) % 10 WHEN 0 THEN 'x' || turn WHEN 1 THEN ' ' || turn || ' '
@@ -230,4 +254,5 @@ EXPECTED = {
             AS size,
           max(CAST(epoch(CAST("timestamp" AS TIMESTAMPTZ)) AS BIGINT)) AS last_epoch
         FROM revisions WHERE {_DUMP_FILE} <> 1 GROUP BY page_id""",
+    "ingest_to_csv": _SCAN,
 }

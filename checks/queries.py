@@ -184,7 +184,7 @@ def null_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history.read_history(spark, dumps.history_path(spark, sf_dir, damaged=True))
+    rows = history.read_history(spark, dumps.history_path(spark, sf_dir, "damaged"))
     kept = quality.sound_rows(rows).select("page_id", F.lit("none").alias("problem"))
     set_aside = quality.quarantined_rows(rows).select("page_id", "problem")
     return (
@@ -194,6 +194,47 @@ def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisions without an id or a timestamp are set aside, with the reason."""
+    rows = history.read_history(spark, dumps.history_path(spark, sf_dir, "lacking"))
+    problem = F.coalesce("problem", F.lit("none")).alias("problem")
+    return rows.groupBy("page_id", problem).agg(
+        F.count("*").alias("revisions"), F.count("id").alias("ids"),
+        F.count("timestamp").alias("timestamps"),
+    )
+
+
+def truncated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that end between elements, between revisions or inside an element."""
+    staging = new_location(spark, "truncated")
+    path = dumps.history_path(spark, sf_dir, "cut")
+    rows = history.read_history(spark, path, staging=staging)
+    unclosed = history.unclosed_files(spark, staging).select("file_path", F.lit(True).alias("early"))
+    by_file = rows.groupBy("file_path").agg(
+        F.count_if(F.col("problem").isNull()).alias("sound"),
+        F.count_if(F.col("problem") == history.UNREADABLE).alias("unreadable"),
+        F.count("*").alias("revisions"),
+    )
+    return by_file.join(unclosed, "file_path", "left").select(
+        dumps.dump_file(F.col("file_path")).alias("dump_file"), "sound", "unreadable", "revisions",
+        F.coalesce("early", F.lit(False)).alias("ends_early"),
+    )
+
+
+def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As xml_scan, of pages longer than a block in files cut into many blocks."""
+    path = dumps.long_history_path(spark, sf_dir)
+    conversations = dumps.table(spark, sf_dir, "conversations")
+    size = conversations.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    # The block size is set in a session of its own: about a hundred blocks at any scale.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", max(4_000, size // 100))
+    apart.conf.set("spark.sql.files.openCostInBytes", 1)
+    staging = new_location(spark, "split")
+    history.stage_history(history.read_records(apart, path), staging)
+    return quality.fields_only(quality.revisions_or_fail(history.staged_history(spark, staging)))
+
+
 def revisions_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.revisions_per_page(_scanned(spark, sf_dir))
 
@@ -378,6 +419,21 @@ def dump_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job to CSV: all files are wanted and good, cells as in the dump."""
+    path, ledger = dumps.history_path(spark, sf_dir), new_location(spark, "ledger")
+    name = dumps.dump_file(F.col("path"))
+    listed = staged_files.digest_staged(spark, path, glob="*.bz2", name=name).select("name", "md5")
+    for _ in range(2):  # the second run trusts the ledger of the first
+        done = ingest_dump(
+            spark, listed.select("name"), listed, path, ledger_path=ledger, glob="*.bz2",
+            name=name, require_all=True,
+        )
+    csv = new_location(spark, "csv")
+    write_revisions(done.raw, "csv", csv)
+    return read_csv(spark, csv)
+
+
 QUERIES = {
     "listing_links": listing_links,
     "link_filter": link_filter,
@@ -393,6 +449,9 @@ QUERIES = {
     "contributor_variants": contributor_variants,
     "null_rules": null_rules,
     "malformed_quarantine": malformed_quarantine,
+    "required_fields": required_fields,
+    "truncated_files": truncated_files,
+    "split_scan": split_scan,
     "retype": retype_query,
     "row_size": row_size,
     "not_null_check": not_null_check,
@@ -407,4 +466,5 @@ QUERIES = {
     "table_modes": table_modes,
     "stream_ingest": stream_ingest,
     "dump_ingest": dump_ingest,
+    "ingest_to_csv": ingest_to_csv,
 }

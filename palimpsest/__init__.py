@@ -28,6 +28,7 @@ from palimpsest.sources.listing import history_links, listing_links, read_listin
 from palimpsest.sources.manifest import append_to_ledger, clear_ledger, read_ledger, read_manifest
 from palimpsest.sources.staged_files import digest_staged, list_staged
 from palimpsest.streaming.ingest import stream_history, streamed_history
+from palimpsest.workspace import remove_location
 
 __all__ = [
     "FIELDS",
@@ -53,6 +54,7 @@ __all__ = [
     "read_listing",
     "read_manifest",
     "refetch_list",
+    "remove_location",
     "required_or_fail",
     "retype",
     "retype_leniently",

@@ -29,6 +29,8 @@ class Ingested:
     raw: DataFrame
     #: Files that end before their root element does.
     unclosed: DataFrame
+    #: Folders these frames read; ``remove_location`` deletes each when done with.
+    staging: tuple[str, ...]
 
 
 def ingest_dump(
@@ -93,6 +95,7 @@ def ingest_dump(
         refetch=refetch,
         raw=quality.fields_only(raw),
         unclosed=unclosed,
+        staging=(rows_at, files_at),
     )
 
 

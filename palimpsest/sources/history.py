@@ -3,15 +3,15 @@
 A page of a real dump can hold a million revisions, so a page is never one
 record here. The text source cuts a file at ``</revision>``; each record then
 holds one revision and, for the first revision of a page, the page's header in
-front of it. Three steps make rows of that, none of which moves revision texts
-between executors:
+front of it. Three steps make rows of that:
 
 1. ``split_records`` cuts each record into header and revision (JVM);
 2. ``carry_headers`` copies the header to the records after it, within one file
    block (Arrow batches, one pass, constant memory);
 3. ``stage_history`` parses the revisions (``from_xml``) and writes them as
-   Parquet; a page that runs on into the next block gets its header when the
-   staged table is read, from one row per block.
+   Parquet. Revisions of a page that runs on into the next block get its header
+   once, from one row per block, and are written beside the others: only their
+   texts may be shuffled, and no reader of the staged table shuffles any.
 
 Literal tags cannot occur inside a revision's text: exports escape them.
 """
@@ -56,14 +56,11 @@ _ROWS = (
     "is_revision boolean, readable boolean, complete boolean, root_closed boolean, "
     "malformed_xml string, "
     + ", ".join(f"{name} string" for name in FIELDS)
-    + ", page_known string"
+    + ", page_known boolean"
 )
 _CUT = "file_path string, block_start long, seq long, cut boolean"
 _BLOCKS = "file_path string, block_start long, page_title string, page_ns string, page_id string"
 
-# Rows with and without a page are written side by side rather than sorted first.
-CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
-
 
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text records of the files, with the file and the block each one is from."""
@@ -238,25 +235,29 @@ def stage_history(
 ) -> None:
     """Decompress and parse once, into columnar tables below ``location``.
 
-    ``rows`` has a row per revision, apart from each other those with and without
-    a page; ``blocks`` has the page that is open where a block begins. ``part``
-    is a partition folder (``batch=7``) within each.
+    ``rows`` has a row per record, ``blocks`` the page that is open where a block
+    begins, ``repaired`` the revisions before their block's first header, with that
+    page, and ``cut`` where files end inside a revision. ``part`` is a partition
+    folder (``batch=7``) within each.
     """
     spark = records.sparkSession
-    rows_at, blocks_at = f"{location}/rows/{part}", f"{location}/blocks/{part}"
-    rows = parse_revisions(carry_headers(split_records(records)))
-    writers = spark.conf.get(CONCURRENT_WRITERS)
-    spark.conf.set(CONCURRENT_WRITERS, "2")
-    try:
-        by_page = rows.write.mode(mode).partitionBy("page_known")
-        # A replayed batch replaces both folders, also where it fills only one.
-        by_page.option("partitionOverwriteMode", "static")
-        by_page.option("compression", "zstd").parquet(rows_at)
-    finally:
-        spark.conf.set(CONCURRENT_WRITERS, writers)
-    staged = spark.read.schema(_ROWS).parquet(rows_at)
-    open_pages(staged).write.mode(mode).parquet(blocks_at)
-    cut_revisions(staged).write.mode(mode).parquet(f"{location}/cut/{part}")
+
+    def write(table: DataFrame, name: str) -> str:
+        where = f"{location}/{name}/{part}"
+        table.write.mode(mode).option("compression", "zstd").parquet(where)
+        return where
+
+    rows_at = write(parse_revisions(carry_headers(split_records(records))), "rows")
+    rows = spark.read.schema(_ROWS).parquet(rows_at)
+    blocks = spark.read.schema(_BLOCKS).parquet(write(open_pages(rows), "blocks"))
+    write(repaired_rows(rows, blocks), "repaired")
+    write(cut_revisions(rows), "cut")
+
+
+def repaired_rows(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Revisions before the first header of their block, with the page open there."""
+    orphans = rows.where("is_revision and not page_known").drop(*_HEADER)
+    return orphans.join(blocks, ["file_path", "block_start"], "left").select(*rows.columns)
 
 
 def cut_revisions(rows: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def open_pages(rows: DataFrame) -> DataFrame:
     Only page starts and rows without a page are looked at, without their texts.
     """
     last_start = F.max_by(F.struct(*_HEADER), F.when(F.col("starts_page"), F.col("seq")))
-    turning = rows.where("starts_page or page_known = 'false'")
+    turning = rows.where("starts_page or not page_known")
     by_block = turning.groupBy("file_path", "block_start").agg(last_start.alias("last"))
     earlier = (
         Window.partitionBy("file_path")
@@ -292,16 +293,9 @@ def staged_history(
     ``file_name``, ``block_start``, ``seq``), and ``problem`` /
     ``malformed_xml`` for rows that are no revision.
     """
-    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows/{part}").where("is_revision")
-    blocks = spark.read.schema(_BLOCKS).parquet(f"{location}/blocks/{part}")
-    blocks = blocks.select("file_path", "block_start", *_HEADER)
-    known = rows.where("page_known = 'true'")
-    repaired = (
-        rows.where("page_known = 'false'")
-        .drop(*_HEADER)
-        .join(blocks, ["file_path", "block_start"], "left")
-        .select(*known.columns)
-    )
+    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows/{part}")
+    known = rows.where("is_revision and page_known")
+    repaired = spark.read.schema(_ROWS).parquet(f"{location}/repaired/{part}")
     problem = (
         F.when(~F.col("readable") | F.col("cut").isNotNull(), UNREADABLE)
         .when(

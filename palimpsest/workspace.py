@@ -34,6 +34,20 @@ def new_location(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/palimpsest/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_location(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that ``new_location`` named, once nothing reads it any more.
+
+    Paths elsewhere are refused. Returns whether there was anything to delete.
+    """
+    ours = f"{shared_folder(spark)}/palimpsest/"
+    name = path.removeprefix(ours).rstrip("/")
+    if not path.startswith(ours) or not name or "/" in name or name in (".", ".."):
+        raise ValueError(f"not a folder below {ours}: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.delete(folder, True)
+
+
 def ship_library(spark: SparkSession) -> None:
     """Send this package to the executors, once for each Spark application.
 

@@ -3,7 +3,8 @@ import hashlib
 import pytest
 
 from dump_text import export, page, revision, write
-from palimpsest import ingest_dump, read_ledger
+from palimpsest import ingest_dump, read_ledger, remove_location
+from palimpsest.workspace import new_location
 
 
 @pytest.fixture
@@ -58,3 +59,13 @@ def test_nothing_good(spark, dump):
     assert done.revisions.count() == 0 and done.refetch.count() == wanted.count()
     with pytest.raises(ValueError, match="not staged or not good"):
         ingest_dump(spark, wanted, empty, staged, require_all=True)
+
+
+def test_staging_is_removed_and_nothing_else(spark, tmp_path):
+    path = new_location(spark, "removal")
+    spark.range(3).write.parquet(path)
+    assert remove_location(spark, path) and not remove_location(spark, path)
+    shared = path.rsplit("/", 1)[0]
+    for other in (str(tmp_path), shared, f"{shared}/", f"{shared}/..", f"{shared}/a/../../b"):
+        with pytest.raises(ValueError):
+            remove_location(spark, other)
