@@ -7,8 +7,13 @@ connect. Reordered text is not similar, as edit similarity has it.
 
 1. Every shingle is labelled with its occurrence in the document. Each of
    ``SKETCHES`` orders of the labelled shingles picks the ``PICKS`` smallest, and
-   the sketch is their sequence in text order. At 0.8 one sketch agrees with
-   probability 0.26 or more, so all 40 miss 5 pairs in a million.
+   the sketch is their sequence in text order. Of U shingles that two documents have,
+   M in common, one agrees with probability C(M, 6) / C(U, 6), if none repeats. At 0.8
+   that is 0.239 for 36 of 45, so all 40 miss 18 such pairs in a million, and 0.262
+   for long texts, 5 in a million. For short ones it would be far less, so pairs of at most
+   ``SHORT`` shingles have ``SHORT_SKETCHES`` of their own, of the ``SHORT_PICKS``
+   smallest in any order: 0.4 for 4 of 5, the fewest that can be similar and differ,
+   and more for all others, so that they miss 1 pair in 4 million at most.
 2. Documents of the same words are one node, whatever their number.
 3. Nodes that share a sketch and whose lengths allow 0.8 are candidates. First each
    is aligned with one hub of its bucket. Then those not in the hub's group are
@@ -38,12 +43,15 @@ from palimpsest.llm.words import column, hash_runs, mix, slices, words_of
 SHINGLE = 5
 PICKS = 6
 SKETCHES = 40
+#: Pairs of up to SHORT shingles: fewer picks, as they are drawn without replacement.
+SHORT, SHORT_PICKS, SHORT_SKETCHES = 40, 3, 30
 SIMILARITY = 0.8
 #: Nodes of a hub in one block of a task, and in one matrix product; columns of it.
 HUB_BLOCK, TOGETHER, COLUMNS = 1024, 256, 1 << 13
 _GENERATOR = np.random.Generator(np.random.PCG64(5))
 _ODD = _GENERATOR.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = _GENERATOR.integers(0, 2**63, PICKS, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHORT_ODD = _GENERATOR.integers(0, 2**63, SHORT_SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 #: A place for documents without an id, above all others.
 NO_ID = 2**63 - 1
 
@@ -54,29 +62,52 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return hash_runs(words, len(words)) if len(words) else words
 
 
-def order_sketch(items: np.ndarray) -> np.ndarray:
-    """SKETCHES hashes of the smallest occurrence-labelled items in text order."""
+def labelled(items: np.ndarray) -> np.ndarray:
+    """Hashes of the items and of how often each came before."""
     order = np.argsort(items, kind="stable")
     ranked = items[order]
     first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     place = np.arange(len(items))
     occurrence = np.empty(len(items), np.uint64)
     occurrence[order] = (place - np.maximum.accumulate(np.where(first, place, 0))).astype(np.uint64)
-    labelled = mix(items + occurrence * np.uint64(0x9E3779B97F4A7C15), 21)
-    picks = min(PICKS, len(items))
+    return mix(items + occurrence * np.uint64(0x9E3779B97F4A7C15), 21)
+
+
+def order_sketch(own: np.ndarray) -> np.ndarray:
+    """SKETCHES hashes of the smallest of PICKS or more labelled items in text order."""
     out = np.empty(SKETCHES, np.uint64)
-    step = max(1, (1 << 21) // len(items))
+    step = max(1, (1 << 21) // len(own))
     for low in range(0, SKETCHES, step):
         odd = _ODD[low : low + step, None]
-        if picks < len(items):
-            chosen = np.argpartition(labelled[None, :] * odd, picks - 1, axis=1)[:, :picks]
-            chosen.sort(axis=1)
-        else:
-            chosen = np.broadcast_to(place, (len(odd), picks))
-        out[low : low + step] = (labelled[chosen] * _STEP[:picks]).sum(axis=1, dtype=np.uint64)
+        chosen = np.argpartition(own[None, :] * odd, PICKS - 1, axis=1)[:, :PICKS]
+        chosen.sort(axis=1)
+        out[low : low + step] = (own[chosen] * _STEP).sum(axis=1, dtype=np.uint64)
     return mix(out + np.arange(SKETCHES, dtype=np.uint64) * _STEP[0], 22)
 
 
+def short_sketch(own: np.ndarray) -> np.ndarray:
+    """SHORT_SKETCHES hashes of the smallest of SHORT_PICKS or more labelled items, as a set."""
+    chosen = np.argpartition(own[None, :] * _SHORT_ODD[:, None], SHORT_PICKS - 1, axis=1)[:, :SHORT_PICKS]
+    out = mix(own[chosen], 23).sum(axis=1, dtype=np.uint64)
+    return mix(out + np.arange(SHORT_SKETCHES, dtype=np.uint64) * _STEP[0], 24)
+
+
+def sketches(items: np.ndarray) -> np.ndarray:
+    """A document's sketches: the short pairs' and, if it can be in a longer pair, the others.
+
+    Documents of up to three shingles have none: only equal ones are similar to them.
+    """
+    if len(items) <= SHORT_PICKS:
+        return np.empty(0, np.uint64)
+    own = labelled(items)
+    found = []
+    if len(items) <= SHORT:
+        found.append(short_sketch(own))
+    if 10 * len(items) >= 8 * (SHORT + 1):
+        found.append(order_sketch(own))
+    return np.concatenate(found)
+
+
 SKETCHED = "id long, tag int, node long, n int, sketch array<long>"
 
 
@@ -86,7 +117,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high in slices(texts):
             words = words_of(texts[low:high])
             hashes = words.hashes()
-            nodes, sizes, sketches, rows = [], [], [], []
+            nodes, sizes, found, rows = [], [], [], []
             for k in range(high - low):
                 own = hashes[words.first[k] : words.first[k + 1]]
                 if not len(own):
@@ -95,19 +126,18 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append(low + k)
                 nodes.append(hash_runs(own, len(own))[0])
                 sizes.append(len(items))
-                sketches.append(order_sketch(items))
+                found.append(sketches(items))
             if not rows:
                 continue
-            flat = np.concatenate(sketches).view(np.int64)
+            flat = np.concatenate(found).view(np.int64)
+            ends = np.cumsum([0, *(len(x) for x in found)])
             yield pa.RecordBatch.from_arrays(
                 [
                     column(batch, "id").take(pa.array(rows)),
                     column(batch, "tag").take(pa.array(rows)),
                     pa.array(np.array(nodes, np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int32()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCHES), pa.array(flat)
-                    ),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                 ],
                 names=["id", "tag", "node", "n", "sketch"],
             )

@@ -86,6 +86,25 @@ def test_near_duplicates(spark, docs, none):
     assert minhash_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_few_words(spark):
+    rows = []
+    for k in range(0, 600, 2):
+        words = [f"p{k}x{n}" for n in range(9 + k // 2 % 3)]  # 5, 6 or 7 shingles
+        rows += [(k, " ".join(words)), (k + 1, " ".join(words[1:] if k % 4 else words[:-1]))]
+    ship_library(spark)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame).collect()}
+    assert found == {k: k - k % 2 for k in range(600)}
+
+
+def test_sketches_of_short_and_longer_pairs_meet():
+    for n in (5, 6, 7, 10, 15, 39, 40, 41, 42, 50, 60):
+        for _ in range(200):
+            items = RNG.integers(0, 2**63, n, np.uint64)
+            fewer = np.delete(items, RNG.choice(n, n // 5, replace=False))
+            assert np.isin(minhash_dedup.sketches(items), minhash_dedup.sketches(fewer)).any()
+
+
 def test_alignment_is_exact_at_the_threshold():
     def longest(a, b):
         table = np.zeros((len(a) + 1, len(b) + 1), int)
