@@ -7,8 +7,9 @@ part, keeping the prefixes that can still lead to it. The bound is each vector's
 ``FILTERS`` directions of each of ``CODES`` codes exceed it, also for vectors that
 lie badly in the code. Vectors of one label that share a filter are compared in
 double precision, by matrix products inside the filter. At a cosine of 0.98 most of
-one vector's filters hold the other too, so that hardly any pair shares none (the
-measured recall is in the README). A pair counts in the least filter it shares.
+one vector's filters hold the other too. Directions grow with the table, and with one
+code 0.6 % of such pairs shared no filter at 120 million vectors; the second code, turned
+by itself, is for those (the measured recall is in the README). A pair counts in the least filter it shares.
 
 Equal vectors of a label are one node with a multiplicity. Filters with more than
 ``CHUNK`` nodes are cut into chunks, and each pair of chunks is a task's work of its
@@ -34,7 +35,7 @@ from palimpsest.llm.words import column
 COSINE = 0.98
 BLOCKS = 4
 FILTERS = 16
-CODES = 1
+CODES = 2
 #: Nodes of one filter on average, over all labels.
 FILTER_NODES = 256
 CHUNK = 512

@@ -142,6 +142,21 @@ def test_embedding_near_duplicates(spark):
     assert embedding_neardup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_filters_of_a_large_table_hold_near_vectors():
+    words = round((120_000_000 * embedding_neardup.FILTERS / embedding_neardup.FILTER_NODES) ** (1 / embedding_neardup.BLOCKS))
+    own = np.random.default_rng(11)
+    a, b = own.normal(size=(2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    shared = np.zeros(len(a), bool)
+    for seed in range(embedding_neardup.CODES):
+        code = embedding_neardup.ProductCode(64, words, seed)
+        one, other = (code.decode(x)[1].reshape(len(x), -1) for x in (a, b))
+        shared |= (one[:, :, None] == other[:, None, :]).any(axis=(1, 2))
+    assert shared.all()
+
+
 def test_top_k(spark):
     vectors = [(k, RNG.integers(-2, 3, 6).astype(float).tolist()) for k in range(300)]
     vectors += [(300, None), (301, [float("inf")] * 6), (302, [None] * 6), (303, [1.0]), (320, vectors[0][1]), (17, vectors[3][1])]
