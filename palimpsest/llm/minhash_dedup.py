@@ -108,7 +108,7 @@ def sketches(items: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
-SKETCHED = "id long, tag int, node long, n int, sketch array<long>"
+SKETCHED = "id long, tag long, node long, n int, sketch array<long>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,13 +331,13 @@ def _lengths_allow(one: str, other: str):
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, tag, ``component_id`` (the group's least doc_id), ``kept``.
 
-    docs: ``doc_id`` and ``text``. tag is Spark's hash of the text, which tells
+    docs: ``doc_id`` and ``text``. tag is Spark's 64-bit hash of the text, which tells
     documents of one id apart. Of each group the document of the least id is kept;
     repeated rows are all marked kept, see ``keep_one``.
     """
     spark = docs.sparkSession
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("tag"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("tag"), "text"
     )
     members = staged(keyed.mapInArrow(_sketched, SKETCHED), "sketches")
     nodes = members.groupBy("node").agg(
@@ -397,7 +397,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay: one of each group; columns as they were."""
     kept = near_duplicates(docs).where("kept").select("doc_id", "tag").distinct()
     whole = docs.select(F.struct("*").alias("doc"))
-    keyed = whole.select(F.col("doc.doc_id").cast("long").alias("own"), F.hash("doc.text").alias("own_tag"), "doc")
+    keyed = whole.select(F.col("doc.doc_id").cast("long").alias("own"), F.xxhash64("doc.text").alias("own_tag"), "doc")
     words = F.col("doc.text").rlike("[^\\x20\\x09-\\x0D]")
     some, none = keyed.where(words), keyed.where(~F.coalesce(words, F.lit(False)))
     some = some.join(kept, some["own"].eqNullSafe(kept["doc_id"]) & (some["own_tag"] == kept["tag"]), "left_semi")

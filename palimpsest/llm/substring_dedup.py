@@ -18,6 +18,7 @@ The sketch is broadcast; ``MOST_COUNTERS`` bounds it (2 x 128 MB). Beyond some
 sixty billion words it fills up: the second pass then groups more windows than it
 need, and still loses none.
 
+Documents of one id, or without any, are told apart by 64-bit hashes of their texts.
 Null texts have no words. Repeated rows are documents like any other. Columns of
 the input that are called like those added are replaced.
 """
@@ -152,7 +153,7 @@ def _maybe_repeated(hashes: np.ndarray, bits: np.ndarray, counters: int) -> np.n
 
 
 #: What rows of one document have in common first, what differs last: it compresses best.
-CANDIDATES = "doc_id long, tag int, length int, n int, d1 long, d2 long, start int"
+CANDIDATES = "doc_id long, tag long, length int, n int, d1 long, d2 long, start int"
 
 
 def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
@@ -193,7 +194,7 @@ def _settle(gathered: list[tuple], window: int) -> Iterator[pa.RecordBatch]:
         same = (ids[1:] == ids[:-1]) & (known[1:] == known[:-1]) & (tags[1:] == tags[:-1])
         head = np.concatenate([[True], ~same | (starts[1:] > starts[:-1] + window)])
         tail = np.concatenate([head[1:], [True]])
-        keys = ids[head].view(np.uint64) ^ tags[head].astype(np.uint64) << np.uint64(20)
+        keys = ids[head].view(np.uint64) ^ mix(tags[head].view(np.uint64), 5)
         yield from rows(mix(keys, 3), mix(starts[head].astype(np.uint64) + keys, 4), ids[head],
                         known[head], tags[head], starts[head], starts[tail] + window - starts[head], 2)
 
@@ -276,7 +277,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.drop(*added).withColumn("doc_id", F.col("doc_id").cast("long"))
     bits = repeated_sketch(docs, window)
     sketch = spark.sparkContext.broadcast(bits)
-    tag = F.hash("text")
+    tag = F.xxhash64("text")
     windows = docs.select("doc_id", "text", tag.alias("tag")).mapInArrow(
         lambda it: _candidates(it, window, sketch), CANDIDATES
     )
@@ -287,7 +288,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("stop"))).alias("ranges"))
     )
     whole = docs.select(F.struct("*").alias("doc"))
-    keyed = whole.withColumn("own_tag", F.hash("doc.text"))
+    keyed = whole.withColumn("own_tag", F.xxhash64("doc.text"))
     joined = keyed.join(
         repeated,
         keyed["doc.doc_id"].eqNullSafe(repeated["doc_id"]) & (keyed["own_tag"] == repeated["tag"]),

@@ -68,6 +68,20 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_texts_of_one_32_bit_hash_and_no_id(spark):
+    ship_library(spark)
+    texts = [" ".join(f"{side}{k}" for k in range(40)) for side in "ab"]
+    numbers = spark.range(250_000)
+    one, other = (numbers.select(F.concat("id", F.lit(" " + x)).alias(f"t{k}")) for k, x in enumerate(texts))
+    same = one.join(other, F.hash("t0") == F.hash("t1")).select("t0", "t1").first()
+    rows = [(None, same.t0), (None, same.t1), (1, "x " + texts[0])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = {r.text: r.n_removed for r in substring_dedup.remove_repeats(frame).collect()}
+    assert cut == {same.t0: 40, same.t1: 0, "x " + texts[0]: 40}
+    apart = spark.createDataFrame(rows[:2], "doc_id long, text string")
+    assert {r.text for r in minhash_dedup.keep_one(apart).collect()} == {same.t0, same.t1}
+
+
 def test_near_duplicates(spark, docs, none):
     base = prose(200).split()
     edited = list(base)
