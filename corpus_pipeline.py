@@ -13,14 +13,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from palimpsest.llm import byte_bpe, language_id, minhash_dedup, mixing, substring_dedup  # noqa: E402
 from palimpsest.llm.components import staged  # noqa: E402
 
-#: The least share of a document's words that its language has, by the tagger.
-LEAST_SHARE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters, and those of which no language has half the words."""
+    """Rejects documents of which no language can be told; text of several languages stays."""
     found = language_id.predict(docs, language_id.train(docs))
-    kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    kept = found.where(F.col("lang_pred") != language_id.UNKNOWN)
     return kept.select(*docs.columns)
 
 

@@ -327,3 +327,14 @@ def test_pipeline(spark, docs, none):
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, none, SF).columns == none.columns
         assert stage(spark, none, SF).count() == 0
+
+
+def test_language_stage_keeps_mixed_text(spark):
+    ship_library(spark)
+    own = np.random.default_rng(3)
+    parts = {lang: [f"{x}{y}" for x in letters for y in letters] for lang, letters in (("a", "bcdfg"), ("b", "klmnp"), ("c", "rstvz"))}
+    rows = [(f"{lang}{k}", " ".join(own.choice(words, 60)), lang) for lang, words in parts.items() for k in range(60)]
+    mixed = " ".join(" ".join(own.choice(words, n)) for words, n in zip(parts.values(), (80, 60, 60)))
+    frame = spark.createDataFrame([*rows, ("mixed", mixed, None), ("none", "12 -- 7", None)], "doc_id string, text string, lang string")
+    left = {r.doc_id for r in corpus_pipeline.identify_language(spark, frame, SF).collect()}
+    assert left == {x for x, _, _ in rows} | {"mixed"}
