@@ -7,7 +7,9 @@ segment, so a few toxic words count alike in short and in long texts.
 
 Embeddings and softmax are trained together, on the driver, on a bounded sample:
 about ``ROWS_PER_CLASS`` toxic rows, and twice as many clean ones, that have at most ``SAMPLE_WORDS``
-words, chosen by hash. In toxic documents the segment that scores highest so far is
+words, chosen by hash. A class of which these are fewer is filled up with the shortest of
+its other labelled documents, whole, while all its words stay within ``SAMPLE_WORDS`` for
+each row wanted; of a class that would have none, the shortest is cut to that. In toxic documents the segment that scores highest so far is
 the toxic one (after some rounds in which all are).
 
 Null texts and texts without words score what the softmax gives an empty bag. Without
@@ -117,10 +119,43 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer | None:
         .where(F.col("text").isNotNull() & short)
         .select("labelled", "text", "toxic").collect()
     )
-    rows = sorted(rows)
-    if len({r.toxic for r in rows}) < 2:
+    rows = sorted(_filled_up(docs, marked, counts, [tuple(r) for r in rows]))
+    if len({toxic for _, _, toxic in rows}) < 2:
         return None
-    return fit([r.text for r in rows], [r.toxic for r in rows])
+    return fit([text for _, text, _ in rows], [toxic for _, _, toxic in rows])
+
+
+def _filled_up(docs: DataFrame, marked: DataFrame, counts: dict[int, int], rows: list[tuple]) -> list[tuple]:
+    """The rows, and the shortest other labelled documents of classes that have too few."""
+    rows = list(rows)
+    texts = docs.where(F.col("text").isNotNull())
+    size = F.size(F.split("text", "[\\x20\\x09-\\x0D]+"))
+    for kind, target in ((0, 2 * ROWS_PER_CLASS), (1, ROWS_PER_CLASS)):
+        own = [(r[0], r[1]) for r in rows if r[2] == kind]
+        if len(own) >= min(target, counts[kind]):
+            continue
+        budget = most = target * SAMPLE_WORDS
+        budget -= sum(len(text.split()) for _, text in own)
+        ids = marked.where(F.col("toxic") == kind).select("labelled").distinct()
+        taken = {x for x, _ in own}
+        sizes = texts.join(ids, texts["doc_id"] == ids["labelled"]).select("labelled", size.alias("size"))
+        found = []
+        for x, words in sizes.orderBy("size", "labelled").limit(target + len(own)).collect():
+            if x in taken:
+                continue
+            if len(own) + len(found) >= target or (budget < words and (own or found)):
+                break
+            found.append(x)
+            budget -= words
+        if not found:
+            continue
+        chosen = texts.where(F.col("doc_id").isin(found)).select("doc_id", "text", size.alias("size"))
+        # a text beyond all words wanted comes alone: a run of it, at a place chosen by hash
+        start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.col("size") - most + 1, F.lit(1))).cast("int") + 1
+        run = F.array_join(F.slice(F.split("text", "[\\x20\\x09-\\x0D]+"), start, F.lit(most)), " ")
+        text = F.when(F.col("size") > most, run).otherwise(F.col("text"))
+        rows += [(r.doc_id, r.text, kind) for r in chosen.select("doc_id", text.alias("text")).collect()]
+    return rows
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:

@@ -311,6 +311,25 @@ def test_toxicity(docs, none):
     assert toxicity.score(none, scorer).count() == 0
 
 
+def test_toxicity_learns_from_long_documents(spark, monkeypatch):
+    ship_library(spark)
+    own = np.random.default_rng(5)
+    rows = []
+    for k in range(120):
+        words = list(own.choice(VOCABULARY, 610 if k % 3 == 0 else 60))
+        rows.append((k, " ".join(words + ["nastyword"] * 20 * (k % 3 == 0)), int(k % 3 == 0)))
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = labelled.drop("toxic"), labelled.drop("text")
+    found = toxicity.train(docs, labels)
+    tests = spark.createDataFrame([(0, prose(99)), (1, prose(99) + " nastyword" * 4)], "doc_id long, text string")
+    assert [r.predicted for r in toxicity.score(tests, found).orderBy("doc_id").collect()] == [0, 1]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.extend(zip(toxic, texts)))
+    monkeypatch.setattr(toxicity, "ROWS_PER_CLASS", 1)
+    toxicity.train(docs, labels)  # room for 600 toxic words: the shortest document, cut
+    assert [len(text.split()) for toxic, text in seen if toxic] == [600]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     from checks.compare import connect, differences
