@@ -12,11 +12,14 @@ from palimpsest.llm import (
     language_id,
     minhash_dedup,
     mixing,
+    personal_data,
+    run_detection,
     sharding,
     substring_dedup,
     token_output,
     topk_search,
     toxicity,
+    whitening,
 )
 from palimpsest.workspace import ship_library
 
@@ -80,6 +83,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.digests(personal_data.find(docs, personal_data.train(docs)))
+
+
+def op12_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_detection.digests(table(spark, sf_dir, "documents"), loop=True)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_library(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -98,6 +114,9 @@ QUERIES = {
         op8_toxicity,
         op9_token_output,
         op10_mixing,
+        op11_personal_data,
+        op12_run_detection,
+        op13_whitening,
         pipeline,
     )
 }
