@@ -13,7 +13,8 @@ candidates are personal data and how far each labeler can be trusted. Its poster
 train a logistic span classifier on votes, shape, length and neighbouring words, so it
 can judge more than the votes. Of each pattern of votes it learns from up to
 ``ROWS_PER_PATTERN`` candidates, those with the least hashes. Candidates it gives
-``SURE`` or more, that overlap no base span and none surer, are added.
+``SURE`` or more are added if they pass their number's check and overlap no base span
+and none surer.
 
 Null texts are empty. Positions are code points. A candidate that occurs many times over
 counts each time; of its copies one is learned from. Without candidates nothing is added.
@@ -346,7 +347,10 @@ def spans_of(text: str, weights: np.ndarray) -> list[tuple[int, int, int, float]
     out = [(k, s, e, 1.0) for k, s, e in base]
     sure = []
     for kind, start, end in rest:
-        own = features(text, kind, start, end, votes(text, kind, start, end, False))
+        cast = votes(text, kind, start, end, False)
+        if cast[LABELERS.index("check")] == NO:
+            continue
+        own = features(text, kind, start, end, cast)
         score = float(1 / (1 + np.exp(-weights[own].sum())))
         if score >= SURE:
             sure.append((-score, start - end, start, kind, end))
@@ -391,9 +395,9 @@ def digests(found: DataFrame) -> DataFrame:
         each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
         return F.array_join(each, ",")
 
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-        for k in KINDS
-    ]
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in KINDS]
     digest = F.sha2(written(base).cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, written(F.col("spans")).alias("spans"))
