@@ -98,6 +98,19 @@ def _integer(name: str, type_name: str) -> str:
     )
 
 
+_TYPED = f"""WITH {_REVISIONS}
+        SELECT id, parent_id, page_title, contributor_id, contributor_name, contributor_ip,
+          text, comment, page_id, CAST(page_ns AS INTEGER) AS page_ns,
+          CAST(epoch(CAST("timestamp" AS TIMESTAMPTZ)) AS BIGINT) AS epoch
+        FROM revisions"""
+
+_MODES = """WITH n AS (SELECT count(*) AS n FROM conversations)
+        SELECT 'first load' AS step, 'loaded' AS outcome, n AS revisions, 0 AS replaced FROM n
+        UNION ALL SELECT 'load over it', 'exists', n, 0 FROM n
+        UNION ALL SELECT 'failing replacement', 'duplicates', n, 0 FROM n
+        UNION ALL SELECT 'replacement', 'loaded', n, n FROM n"""
+
+
 EXPECTED = {
     "listing_links": f"WITH {_LINKS} SELECT page_id, url FROM links",
     "link_filter": f"""WITH {_LINKS}
@@ -237,16 +250,10 @@ EXPECTED = {
         FROM conversations""",
     "csv_roundtrip": _SCAN,
     "csv_parallel": _SCAN,
-    "jdbc_roundtrip": f"""WITH {_REVISIONS}
-        SELECT id, parent_id, page_title, contributor_id, contributor_name, contributor_ip,
-          text, comment, page_id, CAST(page_ns AS INTEGER) AS page_ns,
-          CAST(epoch(CAST("timestamp" AS TIMESTAMPTZ)) AS BIGINT) AS epoch
-        FROM revisions""",
-    "table_modes": """WITH n AS (SELECT count(*) AS n FROM conversations)
-        SELECT 'first load' AS step, 'loaded' AS outcome, n AS revisions, 0 AS replaced FROM n
-        UNION ALL SELECT 'load over it', 'exists', n, 0 FROM n
-        UNION ALL SELECT 'failing replacement', 'duplicates', n, 0 FROM n
-        UNION ALL SELECT 'replacement', 'loaded', n, n FROM n""",
+    "jdbc_roundtrip": _TYPED,
+    "database_load": _TYPED,
+    "table_modes": _MODES,
+    "database_modes": _MODES,
     "stream_ingest": _SCAN,
     "dump_ingest": f"""WITH {_REVISIONS}, {_DUMP_FILES}
         SELECT page_id, count(*) AS revisions,

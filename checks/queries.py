@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import sqlite3
 import uuid
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,7 @@ from palimpsest.plans.ingest import ingest_dump
 from palimpsest.schemas import FIELDS, REQUIRED
 from palimpsest.sinks import tables, write_revisions
 from palimpsest.sinks.csv_files import read_csv, read_parallel_csv
+from palimpsest.sinks.database import read_database
 from palimpsest.sinks.jdbc import read_jdbc
 from palimpsest.sources import history, listing, manifest, staged_files
 from palimpsest.streaming.ingest import stream_history, streamed_history
@@ -365,10 +370,47 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_epoch(read_jdbc(spark, url, table, partitions=4, id_range=tuple(bounds)))
 
 
+def _database(spark: SparkSession) -> partial:
+    """A new SQLite file in the shared folder, which all tasks open."""
+    path = new_location(spark, "database")
+    folder = "/" + path.removeprefix("file:").lstrip("/")
+    if not path.startswith(("/", "file:")):
+        raise ValueError(f"SQLite needs a folder that is mounted, not {path}")
+    os.makedirs(folder)
+    return partial(sqlite3.connect, f"{folder}/base.db", timeout=600)
+
+
+def database_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements with many rows, commits of at most 200 kB; read back by ranges of ids."""
+    connect = _database(spark)
+    rows = retype(_scanned(spark, sf_dir))
+    write_revisions(rows, "database", connect, "revisions", multiple_values=True, commit_bytes=200_000)
+    ids = dumps.table(spark, sf_dir, "conversations").select(F.expr(dumps.REVISIONS["id"]).alias("id"))
+    bounds = ids.agg(F.min("id"), F.max("id")).first()
+    return _with_epoch(read_database(spark, connect, "revisions", tuple(bounds)))
+
+
+def database_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As table_modes, of a table in a database."""
+    connect = _database(spark)
+    bounds = (0, 1 << 40)
+    return _modes(
+        spark, sf_dir, lambda rows, **how: write_revisions(rows, "database", connect, "revisions", **how),
+        lambda: read_database(spark, connect, "revisions", bounds),
+    )
+
+
 def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four loads of one table, and what it holds after each."""
     database = f"palimpsest_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{new_location(spark, 'tables')}'")
+    return _modes(
+        spark, sf_dir, lambda rows, **how: write_revisions(rows, "table", f"{database}.revisions", **how),
+        lambda: spark.table(f"{database}.revisions"),
+    )
+
+
+def _modes(spark: SparkSession, sf_dir: str, load: Callable, held: Callable[[], DataFrame]) -> DataFrame:
     raw = dumps.raw_revisions(dumps.table(spark, sf_dir, "conversations"))
     typed = retype(raw)
     changed = typed.withColumn("comment", F.lit("replaced"))
@@ -382,7 +424,7 @@ def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = None
     for number, (step, rows, replace) in enumerate(steps):
         try:
-            write_revisions(rows, "table", f"{database}.revisions", replace=replace)
+            load(rows, replace=replace)
             outcome = "loaded"
         except tables.TableExists:
             outcome = "exists"
@@ -390,7 +432,7 @@ def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
             outcome = "duplicates"
         # The table as it is now; the next step replaces it.
         snapshot = new_location(spark, f"table-state-{number}")
-        spark.table(f"{database}.revisions").agg(
+        held().agg(
             F.count("*").alias("revisions"),
             F.count_if(F.col("comment") == "replaced").alias("replaced"),
         ).write.parquet(snapshot)
@@ -464,6 +506,8 @@ QUERIES = {
     "csv_parallel": csv_parallel,
     "jdbc_roundtrip": jdbc_roundtrip,
     "table_modes": table_modes,
+    "database_load": database_load,
+    "database_modes": database_modes,
     "stream_ingest": stream_ingest,
     "dump_ingest": dump_ingest,
     "ingest_to_csv": ingest_to_csv,

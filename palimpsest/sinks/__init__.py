@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from palimpsest.sinks.csv_files import write_csv, write_parallel_csv
+from palimpsest.sinks.database import write_database
 from palimpsest.sinks.jdbc import write_jdbc
 from palimpsest.sinks.tables import load_table
 
@@ -13,6 +14,7 @@ SINKS = {
     "parallel_csv": write_parallel_csv,
     "table": load_table,
     "jdbc": write_jdbc,
+    "database": write_database,
 }
 
 

@@ -87,6 +87,17 @@ def test_jdbc(spark, raw):
     assert same(read_jdbc(spark, url, "revisions", partitions=3, id_range=tuple(ids)), typed)
     with pytest.raises(Exception, match="already exists"):
         write_revisions(typed, "jdbc", url, "revisions")
+    failing = [
+        (typed.withColumn("page_title", F.lit(None).cast("string")), MissingValue),
+        (typed.unionByName(typed), DuplicateRevision),
+        (typed.withColumn("id", F.raise_error(F.lit("broken")).cast("long")), Exception),
+    ]
+    for rows, error in failing:
+        with pytest.raises(error):
+            write_revisions(rows, "jdbc", url, "revisions", replace=True)
+        assert same(read_jdbc(spark, url, "revisions"), typed)
+    tables = "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') AS t"
+    assert [r[0] for r in read_jdbc(spark, url, tables).collect()] == ["REVISIONS"]
     assert write_revisions(typed.limit(3), "jdbc", url, "revisions", replace=True) == 3
     assert read_jdbc(spark, url, "revisions").count() == 3
 
