@@ -147,6 +147,8 @@ EXPECTED = {
         SELECT name FROM wanted w WHERE NOT EXISTS (
           SELECT 1 FROM verified v WHERE v.name = w.name AND v.status = 'verified')""",
     "xml_scan": _SCAN,
+    "namespace_scan": f"""WITH scan AS ({_SCAN})
+        SELECT id, comment, page_id, page_ns, contributor_name FROM scan WHERE page_ns IN ('0', '2')""",
     "contributor_variants": f"""WITH {_REVISIONS}
         SELECT CASE WHEN contributor_ip IS NOT NULL THEN 'anonymous'
             WHEN contributor_id IS NOT NULL THEN 'account'
@@ -188,7 +190,7 @@ EXPECTED = {
             CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN conv_id || 'a'
               ELSE '' || conv_id END AS contributor_id,
             CASE conv_id % 6 WHEN 0 THEN 'November 5 2019' WHEN 1 THEN '2019-11-05T07:41:09+02:00'
-              ELSE '2019-11-05T07:41:09Z' END AS stamp,
+              WHEN 2 THEN NULL ELSE '2019-11-05T07:41:09Z' END AS stamp,
             '' || conv_id AS page_id,
             CASE WHEN conv_id % 8 = 0 THEN '99999999999' ELSE '' || (conv_id % 3) END AS page_ns
           FROM conversations),
@@ -254,6 +256,9 @@ EXPECTED = {
     "database_load": _TYPED,
     "table_modes": _MODES,
     "database_modes": _MODES,
+    "dump_partitions": f"""WITH {_REVISIONS}
+        SELECT '20191101' AS dump_date, id, comment, CAST(page_ns AS INTEGER) AS page_ns FROM revisions
+        UNION ALL SELECT '20191201', id, 'second', CAST(page_ns AS INTEGER) FROM revisions""",
     "stream_ingest": _SCAN,
     "dump_ingest": f"""WITH {_REVISIONS}, {_DUMP_FILES}
         SELECT page_id, count(*) AS revisions,

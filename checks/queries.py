@@ -28,9 +28,9 @@ from palimpsest.workspace import new_location
 JDBC_URL = "spark.palimpsest.jdbc.url"
 
 
-def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scanned(spark: SparkSession, sf_dir: str, **chosen) -> DataFrame:
     """Revisions read from the dump written from ``conversations``."""
-    rows = history.read_history(spark, dumps.history_path(spark, sf_dir))
+    rows = history.read_history(spark, dumps.history_path(spark, sf_dir), **chosen)
     return quality.revisions_or_fail(rows)
 
 
@@ -167,7 +167,7 @@ def contributor_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("contributor_name").isNotNull(), "name only")
         .otherwise("removed")
     )
-    rows = _scanned(spark, sf_dir)
+    rows = _scanned(spark, sf_dir, columns=["contributor_id", "contributor_name", "contributor_ip"])
     return rows.groupBy(kind.alias("kind")).agg(F.count("*").alias("revisions"))
 
 
@@ -241,12 +241,18 @@ def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revisions_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.revisions_per_page(_scanned(spark, sf_dir))
+    return counts.revisions_per_page(_scanned(spark, sf_dir, columns=["page_id", "page_title"]))
 
 
 def revision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scanned(spark, sf_dir).select(dumps.dump_file(F.col("file_path")).alias("dump_file"))
-    return counts.revision_counts(rows, "dump_file")
+    rows = _scanned(spark, sf_dir, columns=[])
+    return counts.revision_counts(rows.select(dumps.dump_file(F.col("file_path")).alias("dump_file")), "dump_file")
+
+
+def namespace_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some fields of the revisions of two namespaces; others are not parsed."""
+    chosen = ["id", "comment", "page_id", "page_ns", "contributor_name"]
+    return _scanned(spark, sf_dir, columns=chosen, namespaces=[0, 2]).select(*chosen)
 
 
 def multi_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +292,7 @@ def retype_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "role AS contributor_name",
         "cast(NULL AS string) AS contributor_ip",
         """CASE conv_id % 6 WHEN 0 THEN 'November 5 2019' WHEN 1 THEN '2019-11-05T07:41:09+02:00'
-           ELSE '2019-11-05T07:41:09Z' END AS timestamp""",
+           WHEN 2 THEN concat('2019-11-05T07:41:09Z', char(10)) ELSE '2019-11-05T07:41:09Z' END AS timestamp""",
         "text",
         "cast(NULL AS string) AS comment",
         "cast(conv_id AS string) AS page_id",
@@ -410,6 +416,23 @@ def table_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dump_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dumps of one table, of which one is replaced and one may not be."""
+    database = f"palimpsest_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_location(spark, 'tables')}'")
+    table = f"{database}.revisions"
+    typed = retype(dumps.raw_revisions(dumps.table(spark, sf_dir, "conversations")))
+    write_revisions(typed.where("page_ns <> 1"), "dump", table, "20191101")
+    write_revisions(typed.withColumn("comment", F.lit("second")), "dump", table, "20191201")
+    for rows, replace in ((typed, False), (typed.unionByName(typed), True)):
+        try:
+            write_revisions(rows, "dump", table, "20191201", replace=replace)
+        except (tables.TableExists, quality.DuplicateRevision):
+            continue
+    write_revisions(typed, "dump", table, "20191101", replace=True)
+    return spark.table(table).select("dump_date", "id", "comment", "page_ns")
+
+
 def _modes(spark: SparkSession, sf_dir: str, load: Callable, held: Callable[[], DataFrame]) -> DataFrame:
     raw = dumps.raw_revisions(dumps.table(spark, sf_dir, "conversations"))
     typed = retype(raw)
@@ -489,6 +512,7 @@ QUERIES = {
     "refetch_list": refetch_list,
     "xml_scan": xml_scan,
     "contributor_variants": contributor_variants,
+    "namespace_scan": namespace_scan,
     "null_rules": null_rules,
     "malformed_quarantine": malformed_quarantine,
     "required_fields": required_fields,
@@ -506,6 +530,7 @@ QUERIES = {
     "csv_parallel": csv_parallel,
     "jdbc_roundtrip": jdbc_roundtrip,
     "table_modes": table_modes,
+    "dump_partitions": dump_partitions,
     "database_load": database_load,
     "database_modes": database_modes,
     "stream_ingest": stream_ingest,

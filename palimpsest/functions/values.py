@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 WHITESPACE = " \t\n\r\x0b\x0c"
 ROW_OVERHEAD_BYTES = 300
 # Fixed value: date and time of ISO-8601, to the second or finer, with a zone.
-INSTANT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:?\d\d)$"
+INSTANT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:?\d\d)\z"
 
 
 def strip(value: Column) -> Column:

@@ -59,14 +59,20 @@ def duplicate_ids(rows: DataFrame, key: str = "id") -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def check_loaded(rows: DataFrame) -> None:
-    """Raise if required fields are null or ids repeat. Reads those columns only."""
-    missing = null_violations(rows).where("violations > 0").collect()
+def check_loaded(rows: DataFrame) -> int:
+    """Raise if required fields are null or ids repeat; returns the number of rows.
+
+    Reads those columns only. Rows and nulls are counted in one pass.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED]
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), *nulls).first()
+    missing = [f"{c}: {found[c]}" for c in REQUIRED if found[c]]
     if missing:
-        raise MissingValue(", ".join(f"{r['field']}: {r['violations']}" for r in missing))
+        raise MissingValue(", ".join(missing))
     repeated = duplicate_ids(rows).take(1)
     if repeated:
         raise DuplicateRevision(f"revision {repeated[0]['id']}: {repeated[0]['copies']} rows")
+    return found["rows"]
 
 
 def fields_only(rows: DataFrame) -> DataFrame:

@@ -44,8 +44,17 @@ TYPED_SCHEMA = T.StructType(
 # before both become null.
 CORRUPT = "corrupt"
 PAGE_XML = f"title string, ns string, id string, {CORRUPT} string"
-REVISION_XML = (
-    "id string, parentid string, timestamp string, "
-    "contributor struct<ip: string, username: string, id: string>, "
-    f"comment string, text string, {CORRUPT} string"
-)
+_REVISION_XML = {
+    "id": "id string",
+    "parentid": "parentid string",
+    "timestamp": "timestamp string",
+    "contributor": "contributor struct<ip: string, username: string, id: string>",
+    "comment": "comment string",
+    "text": "text string",
+}
+
+
+def revision_xml(fields: list[str]) -> str:
+    """The part of a revision that these fields are read from."""
+    elements = {"parentid" if c == "parent_id" else c.split("_")[0] for c in fields}
+    return ", ".join([*[kind for name, kind in _REVISION_XML.items() if name in elements], f"{CORRUPT} string"])

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from palimpsest.sinks.csv_files import write_csv, write_parallel_csv
 from palimpsest.sinks.database import write_database
 from palimpsest.sinks.jdbc import write_jdbc
-from palimpsest.sinks.tables import load_table
+from palimpsest.sinks.tables import load_dump, load_table
 
 SINKS = {
     "csv": write_csv,
     "parallel_csv": write_parallel_csv,
     "table": load_table,
+    "dump": load_dump,
     "jdbc": write_jdbc,
     "database": write_database,
 }

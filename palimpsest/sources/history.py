@@ -6,12 +6,15 @@ holds one revision and, for the first revision of a page, the page's header in
 front of it. Three steps make rows of that:
 
 1. ``split_records`` cuts each record into header and revision (JVM);
-2. ``carry_headers`` copies the header to the records after it, within one file
-   block (Arrow batches, one pass, constant memory);
-3. ``stage_history`` parses the revisions (``from_xml``) and writes them as
-   Parquet. Revisions of a page that runs on into the next block get its header
-   once, from one row per block, and are written beside the others: only their
-   texts may be shuffled, and no reader of the staged table shuffles any.
+2. ``parse_revisions`` parses the revisions (``from_xml``), of which only the fields
+   asked for are built;
+3. ``carry_headers`` copies the header to the records after it, within one file
+   block (Arrow batches, one pass, constant memory). Where only some namespaces are
+   wanted it comes first, and revisions of other pages are not parsed;
+4. ``stage_history`` writes the rows as Parquet. Revisions of a page that runs on
+   into the next block get its header once, from one row per block, and are written
+   beside the others: only their texts may be shuffled, and no reader of the staged
+   table shuffles any.
 
 Literal tags cannot occur inside a revision's text: exports escape them.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.values import empty_as_null
-from palimpsest.schemas import CORRUPT, FIELDS, PAGE_XML, REVISION_XML
+from palimpsest.schemas import CORRUPT, FIELDS, PAGE_XML, revision_xml
 from palimpsest.workspace import new_location
 
 RECORD_END = "</revision>"
@@ -45,19 +48,27 @@ MISSING_FIELD = "missing id or timestamp"
 
 _SOURCE = ["file_path", "file_name", "block_start"]
 _HEADER = ["page_title", "page_ns", "page_id"]
-_CARRIED = (
-    "file_path string, file_name string, block_start long, seq long, "
-    "starts_page boolean, page_known boolean, page_title string, page_ns string, page_id string, "
-    "body string, closed boolean, root_closed boolean"
-)
-
-_ROWS = (
+_MARKS = (
     "file_path string, file_name string, block_start long, seq long, starts_page boolean, "
-    "is_revision boolean, readable boolean, complete boolean, root_closed boolean, "
-    "malformed_xml string, "
-    + ", ".join(f"{name} string" for name in FIELDS)
-    + ", page_known boolean"
+    "page_known boolean, is_revision boolean, readable boolean, complete boolean, root_closed boolean, "
+    "malformed_xml string"
 )
+#: Fields that tell whether a row is a revision; always staged.
+_JUDGED = ["id", "timestamp", *_HEADER]
+_ELEMENTS = {"text", "contributor_id", "contributor_name", "contributor_ip"}
+
+
+def _staged_fields(columns: list[str] | None) -> list[str]:
+    unknown = set(columns or ()) - set(FIELDS)
+    if unknown:
+        raise ValueError(f"no such field: {', '.join(sorted(unknown))}")
+    return [c for c in FIELDS if columns is None or c in columns or c in _JUDGED]
+
+
+def _rows_schema(columns: list[str] | None) -> str:
+    return ", ".join([_MARKS, *[f"{name} string" for name in _staged_fields(columns)]])
+
+
 _CUT = "file_path string, block_start long, seq long, cut boolean"
 _BLOCKS = "file_path string, block_start long, page_title string, page_ns string, page_id string"
 
@@ -158,7 +169,7 @@ def carry_headers(fragments: DataFrame) -> DataFrame:
 
     Rows before the first header of a block stay ``page_known = false``.
     """
-    return fragments.mapInArrow(_header_carrier(), _CARRIED)
+    return fragments.mapInArrow(_header_carrier(), fragments.schema)
 
 
 def _header_carrier():
@@ -197,48 +208,63 @@ def _header_carrier():
     return carry
 
 
-def parse_revisions(carried: DataFrame) -> DataFrame:
-    """Parse the revision fragments; absent and empty values become null."""
+def parse_revisions(fragments: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Parse the revision fragments; absent and empty values become null.
+
+    Of the 11 fields only ``columns`` and those that every check needs are built.
+    ``complete`` is null if what it looks at is not among them.
+    """
+    fields = _staged_fields(columns)
+    whole = _ELEMENTS <= set(fields)
     start, end = F.lit(REVISION_START), F.lit(RECORD_END)
     xml = F.when(F.col("closed"), F.concat(start, F.col("body"), end))
-    revision = F.from_xml(xml, REVISION_XML, XML_OPTIONS)
+    revision = F.from_xml(xml, revision_xml(fields), XML_OPTIONS)
     r = F.col("r")
     readable = F.col("closed") & r[CORRUPT].isNull()
     is_revision = F.col("body").isNotNull()
     kept_xml = F.when(is_revision & ~readable, F.concat(start, F.col("body")))
-    return carried.withColumn("r", revision).select(
+    complete = r["contributor"].isNotNull() & r["text"].isNotNull() if whole else F.lit(None).cast("boolean")
+    inside = {"contributor_id": ["contributor", "id"], "contributor_name": ["contributor", "username"],
+              "contributor_ip": ["contributor", "ip"], "parent_id": ["parentid"]}
+
+    def value(name: str):
+        if name in _HEADER:
+            return F.col(name)
+        found = r
+        for step in inside.get(name, [name]):
+            found = found[step]
+        return empty_as_null(found).alias(name)
+
+    return fragments.withColumn("r", revision).select(
         *_SOURCE,
         "seq",
         "starts_page",
         "page_known",
         is_revision.alias("is_revision"),
         (is_revision & readable).alias("readable"),
-        (r["contributor"].isNotNull() & r["text"].isNotNull()).alias("complete"),
+        complete.alias("complete"),
         "root_closed",
         kept_xml.alias("malformed_xml"),
-        empty_as_null(r["id"]).alias("id"),
-        empty_as_null(r["parentid"]).alias("parent_id"),
-        "page_title",
-        empty_as_null(r["contributor"]["id"]).alias("contributor_id"),
-        empty_as_null(r["contributor"]["username"]).alias("contributor_name"),
-        empty_as_null(r["contributor"]["ip"]).alias("contributor_ip"),
-        empty_as_null(r["timestamp"]).alias("timestamp"),
-        empty_as_null(r["text"]).alias("text"),
-        empty_as_null(r["comment"]).alias("comment"),
-        "page_id",
-        "page_ns",
+        *[value(name) for name in fields],
     )
 
 
 def stage_history(
-    records: DataFrame, location: str, mode: str = "errorifexists", part: str = ""
+    records: DataFrame,
+    location: str,
+    mode: str = "errorifexists",
+    part: str = "",
+    columns: list[str] | None = None,
+    namespaces: list[str | int] | None = None,
 ) -> None:
     """Decompress and parse once, into columnar tables below ``location``.
 
     ``rows`` has a row per record, ``blocks`` the page that is open where a block
     begins, ``repaired`` the revisions before their block's first header, with that
     page, and ``cut`` where files end inside a revision. ``part`` is a partition
-    folder (``batch=7``) within each.
+    folder (``batch=7``) within each. ``columns`` are the fields to stage, beside
+    those that say whether a row is a revision; ``namespaces`` the pages to keep, with
+    those whose header is incomplete.
     """
     spark = records.sparkSession
 
@@ -247,13 +273,27 @@ def stage_history(
         table.write.mode(mode).option("compression", "zstd").parquet(where)
         return where
 
-    rows_at = write(parse_revisions(carry_headers(split_records(records))), "rows")
-    rows = spark.read.schema(_ROWS).parquet(rows_at)
+    fragments = split_records(records)
+    if namespaces is None:
+        parsed = carry_headers(parse_revisions(fragments, columns))
+    else:
+        carried = carry_headers(fragments)
+        # the rows of other pages stay, without a revision: they say where pages and files end
+        wanted = ~F.col("page_known") | _within(namespaces)
+        parsed = parse_revisions(carried.withColumn("body", F.when(wanted, F.col("body"))), columns)
+    rows_at = write(parsed, "rows")
+    rows = spark.read.schema(_rows_schema(columns)).parquet(rows_at)
     blocks = spark.read.schema(_BLOCKS).parquet(write(open_pages(rows), "blocks"))
-    write(repaired_rows(rows, blocks), "repaired")
+    repaired = repaired_rows(rows, blocks)
+    write(repaired if namespaces is None else repaired.where(_within(namespaces)), "repaired")
     write(cut_revisions(rows), "cut")
 
 
+def _within(namespaces: list[str | int]):
+    """Pages of these namespaces, and pages that do not say theirs."""
+    return F.coalesce(F.col("page_ns").isin([str(n) for n in namespaces]), F.lit(True))
+
+
 def repaired_rows(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     """Revisions before the first header of their block, with the page open there."""
     orphans = rows.where("is_revision and not page_known").drop(*_HEADER)
@@ -285,17 +325,24 @@ def open_pages(rows: DataFrame) -> DataFrame:
 
 
 def staged_history(
-    spark: SparkSession, location: str, strict_elements: bool = False, part: str = ""
+    spark: SparkSession,
+    location: str,
+    strict_elements: bool = False,
+    part: str = "",
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Revision rows of a staged history, readable or not.
 
-    The 11 fields as text, where each row is from (``file_path``,
-    ``file_name``, ``block_start``, ``seq``), and ``problem`` /
-    ``malformed_xml`` for rows that are no revision.
+    The 11 fields as text (those of ``columns``, if it was staged with these), where
+    each row is from (``file_path``, ``file_name``, ``block_start``, ``seq``), and
+    ``problem`` / ``malformed_xml`` for rows that are no revision.
     """
-    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows/{part}")
+    if strict_elements and not _ELEMENTS <= set(_staged_fields(columns)):
+        raise ValueError(f"strict_elements looks at {', '.join(sorted(_ELEMENTS))}")
+    schema = _rows_schema(columns)
+    rows = spark.read.schema(schema).parquet(f"{location}/rows/{part}")
     known = rows.where("is_revision and page_known")
-    repaired = spark.read.schema(_ROWS).parquet(f"{location}/repaired/{part}")
+    repaired = spark.read.schema(schema).parquet(f"{location}/repaired/{part}")
     problem = (
         F.when(~F.col("readable") | F.col("cut").isNotNull(), UNREADABLE)
         .when(
@@ -309,14 +356,15 @@ def staged_history(
     # At most a row for each file that was cut off.
     cut = spark.read.schema(_CUT).parquet(f"{location}/cut/{part}")
     every = known.unionByName(repaired).join(cut, ["file_path", "block_start", "seq"], "left")
+    fields = [c for c in FIELDS if columns is None or c in columns]
     return every.select(
-        *FIELDS, *_SOURCE, "seq", problem.alias("problem"), "malformed_xml"
+        *fields, *_SOURCE, "seq", problem.alias("problem"), "malformed_xml"
     )
 
 
 def unclosed_files(spark: SparkSession, location: str) -> DataFrame:
     """Staged files that end before their root element does."""
-    rows = spark.read.schema(_ROWS).parquet(f"{location}/rows")
+    rows = spark.read.schema(_MARKS).parquet(f"{location}/rows")
     by_file = rows.groupBy("file_path", "file_name").agg(F.max("root_closed").alias("whole"))
     return by_file.where("not whole").select("file_path", "file_name")
 
@@ -326,8 +374,14 @@ def read_history(
     path: str | list[str],
     staging: str | None = None,
     strict_elements: bool = False,
+    columns: list[str] | None = None,
+    namespaces: list[str | int] | None = None,
 ) -> DataFrame:
-    """Stage the files at ``path`` and return their rows (see ``staged_history``)."""
+    """Stage the files at ``path`` and return their rows (see ``staged_history``).
+
+    With ``columns`` only these fields are built, written and returned; with
+    ``namespaces`` only revisions of these pages are parsed.
+    """
     location = staging or new_location(spark, "history")
-    stage_history(read_records(spark, path), location)
-    return staged_history(spark, location, strict_elements)
+    stage_history(read_records(spark, path), location, columns=columns, namespaces=namespaces)
+    return staged_history(spark, location, strict_elements, columns=columns)

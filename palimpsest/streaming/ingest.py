@@ -26,6 +26,7 @@ def stream_history(
     archive: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     max_file_age: str = "36500d",
+    strict_elements: bool = False,
 ) -> StreamingQuery:
     """Stage the files under ``path`` that are new; stops when there are no more.
 
@@ -50,7 +51,7 @@ def stream_history(
     def take(records: DataFrame, number: int) -> None:
         stage_history(records, staging, mode="overwrite", part=f"batch={number}")
         if on_batch is not None:
-            rows = staged_history(records.sparkSession, staging, part=f"batch={number}")
+            rows = staged_history(records.sparkSession, staging, strict_elements, f"batch={number}")
             on_batch(rows, number)
 
     records = with_source(reader.text(path))
@@ -58,6 +59,6 @@ def stream_history(
     return writer.trigger(availableNow=True).start()
 
 
-def streamed_history(spark: SparkSession, staging: str) -> DataFrame:
-    """Rows of all batches staged so far."""
-    return staged_history(spark, staging)
+def streamed_history(spark: SparkSession, staging: str, strict_elements: bool = False) -> DataFrame:
+    """Rows of all batches staged so far; ``unclosed_files`` tells which files end early."""
+    return staged_history(spark, staging, strict_elements)

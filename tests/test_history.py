@@ -230,6 +230,55 @@ def test_rows_do_not_depend_on_splits_or_batches(spark, tmp_path, setting, codec
     assert rows.exceptAll(expected).isEmpty()
 
 
+@pytest.mark.parametrize("chosen", [
+    {"columns": ["id", "page_id"]},
+    {"columns": []},
+    {"namespaces": [1, "2"]},
+    {"namespaces": [0], "columns": ["comment", "page_ns"]},
+    {"namespaces": [77]},
+])
+def test_only_what_is_asked_for_is_staged(spark, tmp_path, setting, chosen):
+    path = str(tmp_path / "dump")
+    long_dump(spark, path, "none", 500)
+    setting("spark.sql.files.maxPartitionBytes", 20_000)
+    setting("spark.sql.files.openCostInBytes", 1)
+    whole = revisions_or_fail(read_history(spark, path))
+    location = new_location(spark, "chosen")
+    rows = revisions_or_fail(read_history(spark, path, staging=location, **chosen))
+    fields = chosen.get("columns", FIELDS)
+    if "namespaces" in chosen:
+        whole = whole.where(F.col("page_ns").isin([str(n) for n in chosen["namespaces"]]))
+    keys = ["file_path", *fields]
+    assert [c for c in rows.columns if c in FIELDS] == [c for c in FIELDS if c in fields]
+    assert rows.select(keys).exceptAll(whole.select(keys)).isEmpty()
+    assert rows.count() == whole.count()
+    for part in ("rows", "repaired"):
+        staged = spark.read.parquet(f"{location}/{part}")
+        assert ("text" in staged.columns) == ("text" in fields)
+        if "namespaces" in chosen and "text" in fields:
+            known = staged.where("page_known or page_ns is not null")
+            assert known.where(~F.col("page_ns").isin([str(n) for n in chosen["namespaces"]])).where("text is not null").isEmpty()
+
+
+def test_pruned_scans_still_judge_every_revision(spark, tmp_path):
+    broken = revision("12").replace("<timestamp>", "<timestamp", 1)
+    text = export(page("1", ns="0", revisions=[revision("11"), broken]), page("2", ns="1", revisions=[broken]))
+    path = write(tmp_path / "a.xml", text)
+    for chosen, problems in (({"columns": ["id"]}, 2), ({"namespaces": [0]}, 1), ({"namespaces": [1], "columns": []}, 1)):
+        assert quarantined_rows(read_history(spark, path, **chosen)).count() == problems
+    with pytest.raises(ValueError):
+        read_history(spark, path, columns=["id"], strict_elements=True)
+    with pytest.raises(ValueError):
+        read_history(spark, path, columns=["nothing"])
+
+
+def test_cut_files_with_namespaces(spark, tmp_path):
+    whole = export(page("1", ns="0", revisions=[revision("11")]), page("2", ns="1", revisions=[revision("21"), revision("22")]))
+    path = write(tmp_path / "a.xml", whole[: whole.rindex("</text>")])
+    problems = [(n, quarantined_rows(read_history(spark, path, namespaces=[n])).count()) for n in (0, 1)]
+    assert problems == [(0, 0), (1, 1)]
+
+
 def test_same_rows_as_the_xml_data_source(spark, tmp_path):
     path = str(tmp_path / "dump")
     conversations = dumps.table(spark, CONVERSATIONS, "conversations")

@@ -12,7 +12,8 @@ from palimpsest import FIELDS, RAW_SCHEMA, retype, with_provenance, write_revisi
 from palimpsest.operators.quality import DuplicateRevision, MissingValue
 from palimpsest.sinks.csv_files import read_csv, read_parallel_csv
 from palimpsest.sinks.jdbc import jdbc_options, read_jdbc, register_jdbc_catalog
-from palimpsest.sinks.tables import TableExists
+from palimpsest.sinks import tables
+from palimpsest.sinks.tables import TableExists, forgotten_folders, recover_table
 
 SF = "/root/testdata/sf0.001"
 AWKWARD = ['a\nb', '"quoted", and, commas', "back\\slash \\\"", " outer spaces ", "lone \r cr", "\r\n",
@@ -168,3 +169,57 @@ def test_provenance(spark, raw, tmp_path):
     both = read_parallel_csv(spark, str(tmp_path / "csv"))
     assert same(both.where("dump_date = '20200101'").select(*FIELDS), raw)
     assert same(both.where("dump_date = '20200601'").select(*FIELDS), raw.where("page_ns = '0'"))
+
+
+@pytest.mark.parametrize("dies_at", [1, 2, 3])
+def test_a_swap_that_died_is_finished(spark, raw, target, monkeypatch, dies_at):
+    table, options = target
+    namespace = table.rsplit(".", 1)[0]
+    typed = retype(raw)
+    write_revisions(typed.where("page_ns = 0"), "table", table, **options)
+    count = 0
+
+    class Dead(BaseException):
+        pass
+
+    def rename(spark, old, new, plain=tables._rename):
+        nonlocal count
+        count += 1
+        if count == dies_at:
+            raise Dead
+        plain(spark, old, new)
+
+    with monkeypatch.context() as patch, pytest.raises(Dead):
+        patch.setattr(tables, "_rename", rename)
+        if dies_at == 3:  # after both renames
+            patch.setattr(spark, "sql", lambda text, plain=spark.sql: (_ for _ in ()).throw(Dead())
+                          if text.startswith("DROP") else plain(text))
+        write_revisions(typed, "table", table, replace=True, **options)
+    assert recover_table(spark, table)
+    kept = typed.where("page_ns = 0") if dies_at == 1 else typed
+    assert same(spark.table(table).select(*FIELDS), kept)
+    assert spark.sql(f"SHOW TABLES IN {namespace}").count() == 1
+    assert not recover_table(spark, table)
+    assert write_revisions(typed, "table", table, replace=True, **options) == raw.count()
+
+
+def test_dumps_of_one_table(spark, raw):
+    name = f"w{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    table, typed = f"{name}.revisions", retype(raw)
+    dates = {"20200101": typed, "20200201": typed.where("page_ns = 0")}
+    for date, rows in dates.items():
+        assert write_revisions(rows, "dump", table, date) == rows.count()
+    open_reader = spark.table(table).where("dump_date = '20200101'").select(*FIELDS)
+    with pytest.raises(TableExists):
+        write_revisions(typed, "dump", table, "20200101")
+    with pytest.raises(DuplicateRevision):
+        write_revisions(typed.unionByName(typed), "dump", table, "20200101", replace=True)
+    with pytest.raises(ValueError):
+        write_revisions(typed, "dump", table, "January")
+    for date, rows in dates.items():
+        assert same(spark.table(table).where(f"dump_date = '{date}'").select(*FIELDS), rows)
+    assert len(forgotten_folders(spark, table)) == 1
+    assert write_revisions(typed.where("page_ns = 1"), "dump", table, "20200101", replace=True) > 0
+    assert same(spark.table(table).where("dump_date = '20200101'").select(*FIELDS), typed.where("page_ns = 1"))
+    assert open_reader.count() > 0 and len(forgotten_folders(spark, table)) == 2
