@@ -254,6 +254,7 @@ EXPECTED = {
     "csv_parallel": _SCAN,
     "jdbc_roundtrip": _TYPED,
     "database_load": _TYPED,
+    "database_resume": _TYPED,
     "table_modes": _MODES,
     "database_modes": _MODES,
     "dump_partitions": f"""WITH {_REVISIONS}

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -396,6 +397,33 @@ def database_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_epoch(read_database(spark, connect, "revisions", tuple(bounds)))
 
 
+def database_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that loses its connections half way, and a second run that takes it up."""
+
+    class Lost(sqlite3.Connection):
+        """Its second transaction fails."""
+
+        taken = 0
+
+        def commit(self) -> None:
+            if self.taken:
+                raise sqlite3.OperationalError("connection lost")
+            self.taken += 1
+            super().commit()
+
+    connect = _database(spark)
+    rows = retype(_scanned(spark, sf_dir).select(*FIELDS, "file_path"))
+    size = rows.agg(F.sum(values.row_size(F.col("text"), F.col("comment")))).first()[0]
+    options = {"name": "nightly", "file": "file_path", "commit_bytes": max(1, size // 20), "connections": 2}
+    try:
+        unreliable = partial(connect, factory=Lost)
+        write_revisions(rows, "database_batches", unreliable, "revisions", **options)
+        raise AssertionError("the first run was to fail")
+    except PySparkException:
+        write_revisions(rows, "database_batches", connect, "revisions", **options)
+    return _with_epoch(read_database(spark, connect, "revisions", (0, 1 << 40)))
+
+
 def database_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As table_modes, of a table in a database."""
     connect = _database(spark)
@@ -533,6 +561,7 @@ QUERIES = {
     "dump_partitions": dump_partitions,
     "database_load": database_load,
     "database_modes": database_modes,
+    "database_resume": database_resume,
     "stream_ingest": stream_ingest,
     "dump_ingest": dump_ingest,
     "ingest_to_csv": ingest_to_csv,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from palimpsest.sinks.csv_files import write_csv, write_parallel_csv
-from palimpsest.sinks.database import write_database
+from palimpsest.sinks.database import write_database, write_database_in_batches
 from palimpsest.sinks.jdbc import write_jdbc
 from palimpsest.sinks.tables import load_dump, load_table
 
@@ -16,6 +16,7 @@ SINKS = {
     "dump": load_dump,
     "jdbc": write_jdbc,
     "database": write_database,
+    "database_batches": write_database_in_batches,
 }
 
 
