@@ -146,6 +146,23 @@ EXPECTED = {
           FROM (SELECT unnest(range((SELECT n + 3 FROM files))) AS k))
         SELECT name FROM wanted w WHERE NOT EXISTS (
           SELECT 1 FROM verified v WHERE v.name = w.name AND v.status = 'verified')""",
+    "refetch_rounds": f"""WITH {_STAGED},
+        steps AS (
+          SELECT unnest([
+            {{'rule': 0, 'round': 1, 'status': 'verified'}}, {{'rule': 1, 'round': 2, 'status': 'mismatch'}},
+            {{'rule': 1, 'round': 3, 'status': 'verified'}}, {{'rule': 3, 'round': 3, 'status': 'unlisted'}},
+            {{'rule': 2, 'round': NULL, 'status': 'missing'}}, {{'rule': 3, 'round': NULL, 'status': 'missing'}}],
+            recursive := true))
+        SELECT name, CAST(round AS INTEGER) AS round, status FROM staged JOIN steps ON k % 4 = rule""",
+    "live_csv": _SCAN,
+    "clean_source": f"""WITH {_DUMP_FILES}, numbers AS (SELECT unnest(range((SELECT n FROM files))) AS k)
+        SELECT 'whole' AS kind, CAST(k AS VARCHAR) AS dump_file, false AS stays FROM numbers
+        UNION ALL SELECT 'damaged', CAST(k AS VARCHAR), EXISTS (
+          SELECT 1 FROM conversations WHERE {_DUMP_FILE} = k
+            AND (conv_id % 7 IN (0, 3) OR (conv_id % 7 IN (1, 2) AND turn = 1)))
+        FROM numbers""",
+    "provenance": f"""WITH {_REVISIONS}
+        SELECT id, '20191101' AS dump_date, true AS taken_in_now FROM revisions""",
     "xml_scan": _SCAN,
     "namespace_scan": f"""WITH scan AS ({_SCAN})
         SELECT id, comment, page_id, page_ns, contributor_name FROM scan WHERE page_ns IN ('0', '2')""",

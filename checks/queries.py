@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 from checks import dumps
 from palimpsest.functions import links, values
 from palimpsest.operators import batching, counts, integrity, quality
+from palimpsest.operators.provenance import with_provenance
 from palimpsest.operators.retype import retype, retype_leniently
 from palimpsest.plans.ingest import ingest_dump
+from palimpsest.plans.refetch import refetch_until_complete
 from palimpsest.schemas import FIELDS, REQUIRED
 from palimpsest.sinks import tables, write_revisions
 from palimpsest.sinks.csv_files import read_csv, read_parallel_csv
 from palimpsest.sinks.database import read_database
 from palimpsest.sinks.jdbc import read_jdbc
 from palimpsest.sources import history, listing, manifest, staged_files
+from palimpsest.streaming import ingest
 from palimpsest.streaming.ingest import stream_history, streamed_history
 from palimpsest.workspace import new_location
 
@@ -139,6 +142,43 @@ def refetch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.refetch_list(wanted, checksum_verify(spark, sf_dir))
 
 
+def refetch_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the staged files a quarter is there, one comes damaged and then right, one unlisted, one never."""
+    source = _staged_digests(spark, sf_dir)
+    listed = source.select("name", "md5").where(_file_number() % 4 != 3)
+    number, folder = _file_number(), new_location(spark, "arrivals")
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
+    texts = lines.text(dumps.staged_documents(spark, sf_dir)).select(
+        dumps.staged_name(F.col("_metadata.file_path")).alias("name"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value",
+    )
+
+    def bring(which, damaged: bool = False, over: bool = False) -> None:
+        rows = texts.where(which)
+        if damaged:
+            first = {"block": F.lit(-1).cast("long"), "at": F.lit(-1).cast("long"), "value": F.lit("damaged")}
+            rows = rows.unionByName(rows.select("name").distinct().withColumns(first))
+        in_order = rows.repartition("name").sortWithinPartitions("name", "block", "at").select("name", "value")
+        writer = in_order.write.partitionBy("name").mode("overwrite" if over else "append")
+        writer.option("partitionOverwriteMode", "dynamic").text(folder)
+
+    def fetch(missing: DataFrame, round_: int) -> bool:
+        if round_ == 1:
+            bring(number % 4 == 1, damaged=True)
+        elif round_ == 2:
+            bring(number % 4 == 1, over=True)
+            bring(number % 4 == 3)
+        return round_ < 3
+
+    bring(number % 4 == 0)
+    ledger = new_location(spark, "ledger")
+    name = dumps.staged_name(F.col("path"))
+    wanted = source.select("name")
+    done = refetch_until_complete(spark, wanted, listed, folder, ledger, fetch, glob="*.txt", name=name)
+    missing = done.missing.select("name", F.lit(None).cast("int").alias("round"), F.lit("missing").alias("status"))
+    return done.rounds.select("name", "round", "status").unionByName(missing)
+
+
 def ledger_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     def name(rows: DataFrame) -> DataFrame:
         return rows.select(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")).alias("name"))
@@ -277,6 +317,39 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fields_only(quality.revisions_or_fail(streamed_history(spark, staging)))
 
 
+def live_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a stream's batches as CSV, read back; the first batch is replayed."""
+    staging, csv = new_location(spark, "stream"), new_location(spark, "live-csv")
+    path = dumps.history_path(spark, sf_dir)
+    for state, files in (("first", 1), ("all", 1)):  # a fresh checkpoint sends the same batches again
+        stream_history(
+            spark, path, staging, new_location(spark, f"stream-{state}"), files_per_batch=files, glob="*.bz2",
+            on_batch=ingest.live_csv(csv),
+        ).awaitTermination()
+    return read_parallel_csv(spark, csv).select(*FIELDS)
+
+
+def clean_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a dump with damaged pages and one with whole ones: which files stay after a stream."""
+    folder, staging, state = (new_location(spark, x) for x in ("taken", "stream", "stream-state"))
+    conversations = dumps.table(spark, sf_dir, "conversations")
+    files = dumps.file_count(conversations, 4)
+    for kind in ("whole", "damaged"):
+        dumps.write_history(conversations, f"{folder}/kind={kind}", files, **({"damaged": True} if kind == "damaged" else {}))
+    stream_history(spark, folder, staging, state, glob="*.bz2").awaitTermination()
+    before = staged_files.list_staged(spark, folder, glob="*.bz2").select("path")
+    listed = new_location(spark, "listed")
+    before.write.parquet(listed)
+    ingest.remove_taken(spark, staging, state)
+    ingest.remove_taken(spark, staging, state)
+    after = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    left = after.where(F.col("path").endswith(".bz2")).withColumn("left", F.lit(True))
+    kind = F.regexp_extract("path", "/kind=([a-z]+)/", 1).alias("kind")
+    return spark.read.parquet(listed).join(left, "path", "left").select(
+        kind, dumps.dump_file(F.col("path")).alias("dump_file"), F.coalesce("left", F.lit(False)).alias("stays")
+    )
+
+
 # --------------------------------------------------------------------- values
 
 
@@ -461,6 +534,17 @@ def dump_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("dump_date", "id", "comment", "page_ns")
 
 
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table with the dump's date and when they were taken in."""
+    database = f"palimpsest_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_location(spark, 'tables')}'")
+    typed = retype(dumps.raw_revisions(dumps.table(spark, sf_dir, "conversations")))
+    begun = spark.sql("SELECT current_timestamp()").first()[0]
+    write_revisions(with_provenance(typed, "20191101"), "table", f"{database}.revisions")
+    now = F.col("ingested_at").between(F.lit(begun), F.current_timestamp())
+    return spark.table(f"{database}.revisions").select("id", "dump_date", now.alias("taken_in_now"))
+
+
 def _modes(spark: SparkSession, sf_dir: str, load: Callable, held: Callable[[], DataFrame]) -> DataFrame:
     raw = dumps.raw_revisions(dumps.table(spark, sf_dir, "conversations"))
     typed = retype(raw)
@@ -537,6 +621,7 @@ QUERIES = {
     "checksum_verify": checksum_verify,
     "trusted_verify": trusted_verify,
     "ledger_skip": ledger_skip,
+    "refetch_rounds": refetch_rounds,
     "refetch_list": refetch_list,
     "xml_scan": xml_scan,
     "contributor_variants": contributor_variants,
@@ -559,10 +644,13 @@ QUERIES = {
     "jdbc_roundtrip": jdbc_roundtrip,
     "table_modes": table_modes,
     "dump_partitions": dump_partitions,
+    "provenance": provenance,
     "database_load": database_load,
     "database_modes": database_modes,
     "database_resume": database_resume,
     "stream_ingest": stream_ingest,
+    "live_csv": live_csv,
+    "clean_source": clean_source,
     "dump_ingest": dump_ingest,
     "ingest_to_csv": ingest_to_csv,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.sources.manifest import manifest_by_name
-from palimpsest.sources.staged_files import digest_paths
+from palimpsest.sources.staged_files import Opener, digest_paths
 
 VERIFIED = "verified"
 MISMATCH = "mismatch"
@@ -50,10 +50,10 @@ def trusted(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def verify_unless_trusted(
-    listing: DataFrame, manifest: DataFrame, ledger: DataFrame
+    listing: DataFrame, manifest: DataFrame, ledger: DataFrame, opener: Opener | None = None
 ) -> DataFrame:
-    """Status of every listed file; only files outside the ledger are read."""
-    checked = verify(digest_paths(unverified(listing, ledger)), manifest)
+    """Status of every listed file; only files outside the ledger are read, by ``opener``."""
+    checked = verify(digest_paths(unverified(listing, ledger), opener), manifest)
     known = trusted(listing, ledger).withColumn("status", F.lit(TRUSTED))
     columns = ["name", "path", "status"]
     return known.select(*columns).unionByName(checked.select(*columns))

@@ -1,8 +1,13 @@
 import os
 
+import pytest
+
 from checks import dumps
 from dump_text import export, page, revision, write
-from palimpsest import fields_only, read_history, stream_history, streamed_history, write_revisions
+from palimpsest import (
+    fields_only, live_csv, proven_files, quarantined_rows, read_history, remove_taken, stream_history,
+    streamed_history, write_revisions,
+)
 from palimpsest.sinks.csv_files import read_parallel_csv
 
 
@@ -79,3 +84,52 @@ def test_stream_equals_batch(spark, tmp_path):
     rows, batch = fields_only(streamed_history(spark, staging)), fields_only(read_history(spark, path))
     assert rows.count() == conversations.count()
     assert rows.exceptAll(batch).isEmpty()
+
+
+def test_files_go_only_after_proof(spark, tmp_path):
+    source, staging, state = tmp_path / "in", str(tmp_path / "staged"), str(tmp_path / "state")
+    dump(source, 1, 2)
+    bad = export(page("3", revisions=[revision("31"), revision("32").replace("<id>", "<id", 1)]))
+    write(source / "3.xml", bad)
+    whole = export(page("4", revisions=[revision("41")]))
+    write(source / "4.xml", whole[: whole.index("</mediawiki>")])
+    write(source / "odd %20name.xml", whole)
+
+    def run(**options):
+        stream_history(spark, str(source), staging, state, files_per_batch=2, **options).awaitTermination()
+
+    def left():
+        return sorted(p.name for p in source.iterdir() if not p.name.startswith("."))
+
+    assert remove_taken(spark, staging, state) == 0 and proven_files(spark, staging, state).isEmpty()
+    run(on_batch=live_csv(str(tmp_path / "csv")))
+    rows = read_parallel_csv(spark, str(tmp_path / "csv"))
+    sound = streamed_history(spark, staging).where("problem is null")
+    assert rows.count() == sound.count() == 9 and quarantined_rows(streamed_history(spark, staging)).count() == 1
+    assert remove_taken(spark, staging, state, archive=str(tmp_path / "done")) == 3
+    assert left() == ["3.xml", "4.xml"]
+    assert sorted(p.name for p in (tmp_path / "done").rglob("*.xml*") if p.suffix != ".crc") == [
+        "1.xml.bz2", "2.xml.bz2", "odd %20name.xml"]
+    assert remove_taken(spark, staging, state) == 0
+    dump(source, 5)
+    run()
+    assert remove_taken(spark, staging, state) == 1 and left() == ["3.xml", "4.xml"]
+
+
+def test_a_batch_without_commit_keeps_its_files(spark, tmp_path):
+    source, staging, state = tmp_path / "in", str(tmp_path / "staged"), str(tmp_path / "state")
+    dump(source, 1, 2, 3)
+
+    def fails(rows, number):
+        if number == 1:
+            raise OSError("sink is down")
+
+    query = stream_history(spark, str(source), staging, state, files_per_batch=1, on_batch=fails)
+    with pytest.raises(Exception, match="sink is down"):
+        query.awaitTermination()
+    assert streamed_history(spark, staging).count() == 6  # the second was staged
+    assert remove_taken(spark, staging, state) == 1
+    assert len([p for p in source.iterdir() if p.name.endswith(".bz2") and not p.name.startswith(".")]) == 2
+    stream_history(spark, str(source), staging, state, files_per_batch=1).awaitTermination()
+    assert streamed_history(spark, staging).count() == 9
+    assert remove_taken(spark, staging, state) == 2
