@@ -1,16 +1,22 @@
 """Toxicity by averaged subword embeddings and a linear softmax, trained jointly in numpy.
 
-A word's vector is the mean of the vectors of its byte n-grams (and of itself), so an
-unseen misspelling shares most of them. The vectors of ``SEGMENT`` words are averaged
-and go through a linear softmax of two classes; a document scores as its highest
-segment, so a few toxic words count alike in short and in long texts.
+A word's vector is the mean of the vectors of its byte n-grams (and of itself, without the
+signs around it), so an unseen misspelling shares most of them. The vectors of ``SEGMENT``
+words are averaged and go through a linear softmax of two classes; a document scores as its
+highest segment, so a few toxic words count alike in short and in long texts.
 
 Embeddings and softmax are trained together, on the driver, on a bounded sample:
 about ``ROWS_PER_CLASS`` toxic rows, and twice as many clean ones, that have at most ``SAMPLE_WORDS``
 words, chosen by hash. A class of which these are fewer is filled up with the shortest of
 its other labelled documents, whole, while all its words stay within ``SAMPLE_WORDS`` for
-each row wanted; of a class that would have none, the shortest is cut to that. In toxic documents the segment that scores highest so far is
-the toxic one (after some rounds in which all are).
+each row wanted; of a class that would have none, the shortest is cut to that.
+
+Labels are of documents, and nobody says which segment is the toxic one. Training shares a
+toxic document out among its segments, first evenly, then more and more to those that score
+highest. Steps of an n-gram are divided by the root of how many documents hold it: then
+the cues of a language with few labelled documents are learned as well as those of a
+frequent one, and what one document alone holds does not explain its label away. Vectors
+start from how surely an n-gram is more frequent in documents of one class.
 
 Null texts and texts without words score what the softmax gives an empty bag. Without
 labels of both classes every score is 0. Input columns called like those added are
@@ -28,17 +34,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm.language_id import held_out
-from palimpsest.llm.words import column, grams, kinds, lowered, slices, words_of
+from palimpsest.llm.words import Words, column, grams, kinds, lowered, slices, words_of
 
 ROWS_PER_CLASS = 600
 SAMPLE_WORDS = 600
-SEGMENT = 4
+SEGMENT = 2
 SIZES = (3, 4, 5)
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 DIMENSIONS = 8
-STEPS, ALL_POSITIVE = 80, 12
-#: The longest step of an embedding's, the softmax's and the bias's numbers; their decay.
-STEP_LENGTHS, DECAY = (0.6, 0.1, 0.3), 0.01
+STEPS = 80
+#: Steps of the n-grams' vectors, of the softmax, of the bias; memory of earlier steps; decay.
+STEP_LENGTHS, MOMENTUM, DECAY = (2.0, 0.002, 0.002), 0.9, 1e-3
+#: How far the share of a segment follows its score, at the end.
+ATTENTION = 4.0
+#: Documents beside which an n-gram's own count: the rarest do not take the longest steps.
+PSEUDO_DOCUMENTS = 3
+#: Standard deviations by which counts of the classes differ before a vector starts off zero, and the start's scale.
+SURELY, START = 1.96, 3.0
 TOXIC = 0.7
 
 
@@ -63,40 +75,87 @@ def _cut(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return head, doc, np.minimum(SEGMENT, first[1:][doc] - head)
 
 
+def _words(texts: pa.Array) -> Words:
+    """Words in small letters, without the ASCII signs around them (signs alone stay)."""
+    words = words_of(texts)
+    if not len(words.starts):
+        return words
+    at, size = np.arange(len(words.data)), len(words.data)
+    good = ~_SIGNS[words.data]
+    last = np.maximum.accumulate(np.where(good, at, -1))
+    following = np.minimum.accumulate(np.where(good, at, size)[::-1])[::-1]
+    starts, ends = following[words.starts], last[words.ends - 1] + 1
+    some = (starts < words.ends) & (ends > starts)
+    return Words(words.data, np.where(some, starts, words.starts), np.where(some, ends, words.ends), words.first)
+
+
+_SIGNS = np.zeros(256, bool)
+_SIGNS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def _documents_of(first: np.ndarray, inverse: np.ndarray, owner: np.ndarray, feature: np.ndarray, toxic: np.ndarray):
+    """How many toxic and how many clean documents hold each n-gram."""
+    kinds_ = int(inverse.max()) + 1
+    order = np.argsort(owner, kind="stable")
+    feature, counts = feature[order], np.bincount(owner, minlength=kinds_)
+    begin = np.cumsum(counts) - counts
+    found = np.zeros((2, BUCKETS))
+    for k in range(len(toxic)):
+        own = np.unique(inverse[first[k] : first[k + 1]])
+        n = counts[own]
+        spots = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        found[toxic[k], np.unique(feature[spots])] += 1
+    return found[1], found[0]
+
+
+def _start(toxic_documents: np.ndarray, clean_documents: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """By how much more than chance an n-gram is more frequent in one class."""
+    ratio, variance = 0.0, 0.0
+    for sign, held, of in ((1, toxic_documents, toxic), (-1, clean_documents, clean)):
+        ratio = ratio + sign * (np.log(held + 0.5) - np.log(of - held + 0.5))
+        variance = variance + 1 / (held + 0.5) + 1 / (of - held + 0.5)
+    surely = ratio / np.sqrt(variance)
+    return np.sign(surely) * np.maximum(0, np.abs(surely) - SURELY)
+
+
 def fit(texts: list[str], toxic: list[int], seed: int = 0) -> Scorer:
     rng = np.random.default_rng(seed)
-    words = words_of(lowered(pa.array(texts, pa.large_string())))
+    words = _words(lowered(pa.array(texts, pa.large_string())))
     toxic = np.array(toxic)
+    if not len(words.starts):
+        return Scorer(np.zeros(BUCKETS), 0.0)
     spot, inverse = kinds(words.hashes())
     owner, feature = grams(words.data, words.starts[spot], words.ends[spot], SIZES, BUCKETS)
     share = 1 / np.bincount(owner, minlength=len(spot))
     head, doc, size = _cut(words.first)
     positive = toxic[doc] == 1
     edges = np.flatnonzero(np.diff(doc, prepend=-1))
-    sizes = np.diff(np.append(edges, len(doc)))
-    values = [rng.normal(0, 0.02, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, DIMENSIONS), np.array([-1.0])]
-    slow = [np.zeros_like(v) for v in values]
+    counts = np.diff(np.append(edges, len(doc)))
+    held = _documents_of(words.first, inverse, owner, feature, toxic)
+    classes = int((toxic == 1).sum()), int((toxic == 0).sum())
+    pace = (1 / np.sqrt(held[0] + held[1] + PSEUDO_DOCUMENTS))[:, None]
+    out = rng.normal(size=DIMENSIONS)
+    out /= np.linalg.norm(out)
+    vectors = START * _start(*held, *classes)[:, None] * out
+    slow, bias = np.zeros_like(vectors), -2.0
     for turn in range(STEPS):
-        vectors, out, bias = values
-        each = np.stack([np.bincount(owner, v[feature], len(spot)) for v in vectors.T], 1) * share[:, None]
-        bags = np.add.reduceat(each[inverse], head) / size[:, None]
-        logit = bags @ out + bias
-        best = logit >= np.repeat(np.maximum.reduceat(logit, edges), sizes)
-        chosen = positive & best if turn >= ALL_POSITIVE else positive
-        # half the weight of clean documents is on their highest segments, the likeliest mistakes
-        weight = np.where(chosen, 1 / max(1, chosen.sum()), 0)
-        for clean in (~positive, ~positive & best):
-            weight = weight + np.where(clean, 1 / max(1, clean.sum()), 0)
+        bags = (np.bincount(owner, (vectors @ out)[feature], len(spot)) * share)[inverse]
+        logit = np.add.reduceat(bags, head) / size + bias
+        below = logit - np.repeat(np.maximum.reduceat(logit, edges), counts)
+        attention = ATTENTION * min(1, 2 * turn / STEPS)
+        part = np.exp(np.maximum(attention * below, -50))
+        part /= np.repeat(np.add.reduceat(part, edges), counts)
+        # half the weight of a clean document is on its highest segment, the likeliest mistake
+        weight = np.where(positive, part * classes[1] / max(1, classes[0]), 0.5 * ((below == 0) + part))
         wrong = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - positive) * weight
         to_word = np.bincount(inverse, np.repeat(wrong / size, size), len(spot)) * share
         slope = np.bincount(feature, to_word[owner], BUCKETS)
-        slopes = [slope[:, None] * out, wrong @ bags, np.array([wrong.sum()])]
-        # one step length for all n-grams: those of many documents move, rare ones hardly do
-        for v, m, slope, most in zip(values, slow, slopes, STEP_LENGTHS):
-            m += 0.3 * (slope - m)
-            v *= 1 - DECAY
-            v -= most * m / (np.abs(m).max() + 1e-12)
-    return Scorer(values[0] @ values[1], float(values[2][0]))
+        slow = MOMENTUM * slow + (slope[:, None] * pace) * out
+        pull = vectors.T @ slope / max(1, len(texts))
+        vectors = (1 - DECAY) * vectors - STEP_LENGTHS[0] * slow
+        out = out - STEP_LENGTHS[1] * pull / max(1e-12, np.abs(pull).max())
+        bias -= STEP_LENGTHS[2] * wrong.sum()
+    return Scorer(vectors @ out, float(bias))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Scorer | None:
@@ -164,7 +223,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
         texts = lowered(column(batch, "doc").field("text"))
         for low, high in slices(texts):
             logit = np.full(high - low, scorer.bias if scorer else -np.inf)
-            words = words_of(texts[low:high])
+            words = _words(texts[low:high])
             if scorer and len(words.starts):
                 spot, inverse = kinds(words.hashes())
                 each = scorer.of_words(words.data, words.starts[spot], words.ends[spot])[inverse]
