@@ -5,12 +5,17 @@ lexicon entry, the word itself; transitions between languages are learned too.
 Forward-backward gives each word's probability of each language; a document's
 language has the largest sum over its words, its score is that sum's share.
 
-The model is trained in numpy on the driver, on a bounded sample: about
-``ROWS_PER_LANGUAGE`` labelled rows a language, chosen by hash, ``SEGMENTS`` runs of
+The model is trained in numpy on the driver, on a bounded sample: up to
+``ROWS_PER_LANGUAGE`` different labelled rows of each of the ``LANGUAGES`` most frequent
+languages, chosen by hash, ``SEGMENTS`` runs of
 ``SEGMENT`` words of each at places chosen by hash. Every other training sequence
 joins runs of two languages, which is where changes of language are learned from.
 
-Null texts and texts without letters are ``und`` with score 0, as is everything if
+``fits`` tells texts of the learned languages, mixed or not, from others and from
+gibberish: whether a text's words speak for some language about as clearly as training
+words do. The fewer words, the lower the bound, so short texts are seldom refused.
+
+Null texts and texts without letters are ``und`` with score 0 and do not fit, as is everything if
 no row is labelled. Labels are never read for a prediction. Input columns called like
 those added are replaced.
 """
@@ -21,19 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm.words import column, grams, has_letters, kinds, lowered, mix, slices, words_of
 
-ROWS_PER_LANGUAGE = 500
+#: Rows of each language, and the languages, that training uses: the most frequent ones.
+ROWS_PER_LANGUAGE, LANGUAGES = 500, 200
 SEGMENTS = 3
 SEGMENT = 24
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 STEPS = 40
 UNKNOWN = "und"
+#: Share of what words of the learned languages stand out, below which a text is of none.
+FITTING = 0.6
 BLOCK = 64
 SLICE_BYTES = 1 << 18
 
@@ -66,10 +74,27 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Tagger:
-    """Weights, transitions and the posteriors they give."""
+    """Weights, transitions and the posteriors they give; how far words of the languages stand out.
+
+    ``least`` is the mean, ``spread`` the deviation, of ``standing_out`` over the training
+    words of the language where the one is smallest and the other largest.
+    """
 
-    def __init__(self, languages: list[str], weights: np.ndarray, transitions: np.ndarray):
+    def __init__(
+        self, languages: list[str], weights: np.ndarray, transitions: np.ndarray, least: float = 0.0, spread: float = 0.0
+    ):
         self.languages, self.weights, self.transitions = languages, weights, transitions
+        self.least, self.spread = least, spread
+
+    @staticmethod
+    def standing_out(emissions: np.ndarray) -> np.ndarray:
+        """How much more a word speaks for one language than for the average one."""
+        return emissions.max(axis=1) - emissions.mean(axis=1)
+
+    def fits(self, total: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Whether texts, of so many words that stand out so far in sum, have a learned language's words."""
+        words = np.maximum(words, 1)
+        return total / words >= FITTING * self.least - 3 * self.spread / np.sqrt(words)
 
     def emissions(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         owner, feature = grams(data, starts, ends, SIZES, BUCKETS)
@@ -128,17 +153,16 @@ def _sequences(segments: list[tuple[str, str]], index: dict[str, int], rng) -> t
     words, labels = [], []
     for lang, text in segments:
         own = text.encode().split()
-        own += own[: SEGMENT - len(own)] if len(own) < SEGMENT else []
         while len(own) < SEGMENT:
             own += own[: SEGMENT - len(own)]
         words.append(own)
         labels.append([index[lang]] * SEGMENT)
     order = rng.permutation(len(words))
+    alone, their = list(words), list(labels)  # as they were: a joined one is never joined on
     for one, other in zip(order[: len(order) // 2], rng.permutation(len(words))):
         cut = int(rng.integers(1, SEGMENT))
-        words[one] = words[one][:cut] + words[other][cut:]
-        labels[one] = labels[one][:cut] + [index[segments[other][0]]] * (SEGMENT - cut)
-        segments[one] = segments[one] if cut > SEGMENT // 2 else (segments[other][0], segments[one][1])
+        words[one] = alone[one][:cut] + alone[other][cut:]
+        labels[one] = their[one][:cut] + their[other][cut:]
     return words, np.array(labels)
 
 
@@ -198,7 +222,12 @@ def fit(segments: list[tuple[str, str]], seed: int = 0) -> Tagger:
             m += 0.1 * (slope - m)
             s += 0.01 * (slope**2 - s)
             v -= 0.1 * (m / (1 - 0.9**turn)) / (np.sqrt(s / (1 - 0.99**turn)) + 1e-9)
-    return Tagger(languages, *values)
+    tagger = Tagger(languages, *values)
+    out = tagger.standing_out(tagger.emissions(data, starts, ends))[inverse].ravel()
+    each = [out[labels.ravel() == k] for k in range(langs)]
+    each = [x for x in each if len(x)]
+    tagger.least, tagger.spread = float(min(x.mean() for x in each)), float(max(x.std() for x in each))
+    return tagger
 
 
 def train(docs: DataFrame) -> Tagger | None:
@@ -206,12 +235,20 @@ def train(docs: DataFrame) -> Tagger | None:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
         "doc_id", "text", "lang"
     )
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
+    places = F.xxhash64("doc_id", "text")
+    labelled = labelled.select("lang", "text", places.alias("place"))
+    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    languages = [r.lang for r in frequent.collect()]
+    if not languages:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, ROWS_PER_LANGUAGE / n))])
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.where(place < share[F.col("lang")]).select("text", "lang")
+    # the least hash of each of some slots: copies of a row are one, and none but these go to the driver
+    slot = F.pmod("place", F.lit(4 * ROWS_PER_LANGUAGE))
+    least = labelled.where(F.col("lang").isin(languages)).groupBy("lang", slot).agg(F.min("place").alias("place"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    picked = least.select("lang", "place", rank.alias("rank")).where(F.col("rank") <= ROWS_PER_LANGUAGE)
+    keys = docs.sparkSession.createDataFrame([(r.lang, r.place) for r in picked.collect()], "lang string, place long")
+    own = labelled.join(F.broadcast(keys), ["lang", "place"])  # at most LANGUAGES * ROWS_PER_LANGUAGE keys
+    chosen = own.groupBy("lang", "place").agg(F.first("text").alias("text"))
     segments = chosen.mapInArrow(_segments, "lang string, text string").collect()
     return fit([(r.lang, r.text) for r in segments]) if segments else None
 
@@ -223,7 +260,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBa
         letters = column(batch, "letters").to_numpy(zero_copy_only=False)
         for low, high in slices(texts, SLICE_BYTES):
             langs = np.full(high - low, UNKNOWN, object)
-            scores = np.zeros(high - low)
+            scores, fits = np.zeros(high - low), np.zeros(high - low, bool)
             words = words_of(texts[low:high])
             if tagger and len(words.starts):
                 spot, inverse = kinds(words.hashes())
@@ -237,16 +274,18 @@ def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBa
                 best = sums.argmax(axis=1)
                 langs[good] = np.array(tagger.languages, object)[best[good]]
                 scores[good] = np.clip(sums.max(axis=1)[good] / totals[good], 0, 1)
+                out = np.bincount(doc, tagger.standing_out(own)[inverse][votes], high - low)
+                fits = good & tagger.fits(out, np.bincount(doc, minlength=high - low))
             kept = batch.slice(low, high - low)
             yield pa.RecordBatch.from_arrays(
-                [column(kept, "doc"), pa.array(langs.tolist(), pa.string()), pa.array(scores)],
-                names=["doc", "lang_pred", "score"],
+                [column(kept, "doc"), pa.array(langs.tolist(), pa.string()), pa.array(scores), pa.array(fits)],
+                names=["doc", "lang_pred", "score", "fits"],
             )
 
 
 def predict(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
-    """The documents with ``lang_pred`` and ``score``."""
-    docs = docs.drop("lang_pred", "score")
+    """The documents with ``lang_pred``, ``score`` and ``fits``."""
+    docs = docs.drop("lang_pred", "score", "fits")
     whole = docs.select(F.struct("*").alias("doc"))
     model = docs.sparkSession.sparkContext.broadcast(tagger)
     schema = T.StructType(
@@ -254,8 +293,9 @@ def predict(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
             T.StructField("doc", whole.schema["doc"].dataType),
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
+            T.StructField("fits", T.BooleanType()),
         ]
     )
     letters = F.coalesce(F.col("doc.text").rlike("\\p{L}"), F.lit(False)).alias("letters")
     rows = whole.select("doc", letters).mapInArrow(lambda it: _predicted(it, model), schema)
-    return rows.select("doc.*", "lang_pred", "score")
+    return rows.select("doc.*", "lang_pred", "score", "fits")
