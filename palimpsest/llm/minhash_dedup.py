@@ -394,11 +394,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay: one of each group; columns as they were."""
+    """The documents that stay: one of each group; columns as they were.
+
+    Of rows with the same id and text, the one whose columns have the least hash.
+    """
     kept = near_duplicates(docs).where("kept").select("doc_id", "tag").distinct()
     whole = docs.select(F.struct("*").alias("doc"))
     keyed = whole.select(F.col("doc.doc_id").cast("long").alias("own"), F.xxhash64("doc.text").alias("own_tag"), "doc")
     words = F.col("doc.text").rlike("[^\\x20\\x09-\\x0D]")
     some, none = keyed.where(words), keyed.where(~F.coalesce(words, F.lit(False)))
     some = some.join(kept, some["own"].eqNullSafe(kept["doc_id"]) & (some["own_tag"] == kept["tag"]), "left_semi")
-    return some.dropDuplicates(["own", "own_tag"]).unionByName(none).select("doc.*")
+    one = some.groupBy("own", "own_tag").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return one.unionByName(none.select(*one.columns)).select("doc.*")
