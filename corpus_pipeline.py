@@ -15,14 +15,21 @@ from palimpsest.llm.components import staged  # noqa: E402
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of which no language can be told; text of several languages stays."""
-    found = language_id.predict(docs, language_id.train(docs))
-    kept = found.where(F.col("lang_pred") != language_id.UNKNOWN)
-    return kept.select(*docs.columns)
+    """Rejects texts of no learned language; where ``lang`` is null, the prediction fills it.
+
+    Texts of several languages stay. Null texts, texts without a letter and long texts
+    whose words are of no language the labelled documents have (gibberish, other scripts)
+    go. Repeated rows are judged alike. Without a labelled document everything goes.
+    """
+    found = language_id.predict(docs, language_id.train(docs)).where(F.col("fits"))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays.
+
+    Documents without words (null, empty, blank) stay, each alone; of repeated rows one stays.
+    """
     return minhash_dedup.keep_one(docs)
 
 
@@ -36,14 +43,17 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document, or a part of it."""
+    """A row for each time the mix takes a document, or a part of it.
+
+    Documents without words are not taken; repeated rows are documents of their own.
+    """
     mixed = mixing.materialize(docs)
     chars = F.length("text").cast(docs.schema["n_chars"].dataType)
     return mixed.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and the digest of what they decode to."""
+    """Ids of every text, and the digest of what they decode to; null texts have none."""
     return byte_bpe.encode_and_decode(docs.select("doc_id", "source", "text")).select(
         "doc_id", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
