@@ -1,10 +1,13 @@
 """Exact top-k by integer inner product: tiles of queries and shards, and a merge tree.
 
-Rows are packed into matrices: shards of ``SHARD_ROWS`` rows and groups of
-``GROUP_QUERIES`` queries. Every group meets every shard in one tile, a product of two
-matrices, of which each query keeps its k best (partial selection, no sort of all
-scores). The lists of a query are merged ``FAN`` at a time, level by level. Only
-matrices and lists of k are shuffled, a task holds a few tiles, and no pair is a row.
+Rows are packed into matrices of the narrowest numbers that hold them: shards of rows
+and groups of queries, each of up to ``BLOCK_BYTES``. Every group meets every shard in one
+tile, a product of two matrices (taken in strips of ``CELLS`` scores), of which each query
+keeps its k best (partial selection, no sort of all scores). The lists of a query are
+merged ``FAN`` at a time, level by level. Only matrices and lists of k are shuffled, and
+no pair is a row. A shard is shuffled once for each group and a group once for each shard:
+the larger the blocks, the fewer copies. Small tables are cut finer, so that there are
+tiles for many tasks.
 
 A component x counts as floor(64 x). Vectors that are null or hold null or non-finite
 components take no part; vectors of different lengths, empty ones included, are not
@@ -27,11 +30,15 @@ from palimpsest.llm.components import staged
 
 K = 20
 SCALE = 64
-SHARD_ROWS = 4096
-GROUP_QUERIES = 512
+BLOCK_BYTES = 1 << 24
+#: Rows of a block that small tables are cut down to, until there are so many blocks.
+SHARD_ROWS, SHARDS = 4096, 32
+GROUP_QUERIES, GROUPS = 512, 4
 FAN = 16
-TILE_QUERIES = 256
-PACKED = "dims int, ids binary, matrix binary"
+#: Scores that are made at a time.
+CELLS = 1 << 21
+KINDS = ("<i1", "<i2", "<i4")
+PACKED = "dims int, ids binary, kind string, matrix binary"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -46,10 +53,11 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
     def packed(dims: int, parts: list) -> pa.RecordBatch:
         ids, matrix = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(ids, kind="stable")
+        kind = _narrowest(matrix)
         return pa.RecordBatch.from_arrays(
-            [pa.array([dims], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()),
-             pa.array([matrix[order].tobytes()], pa.binary())],
-            names=["dims", "ids", "matrix"],
+            [pa.array([dims], pa.int32()), pa.array([ids[order].tobytes()], pa.binary()), pa.array([kind]),
+             pa.array([matrix[order].astype(kind).tobytes()], pa.binary())],
+            names=["dims", "ids", "kind", "matrix"],
         )
 
     for batch in batches:
@@ -71,6 +79,12 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
             yield packed(dims, parts)
 
 
+def _narrowest(matrix: np.ndarray) -> str:
+    """Of whole numbers in doubles, the narrowest kind that holds them all."""
+    low, high = matrix.min(initial=0), matrix.max(initial=0)
+    return next((k for k in KINDS if np.iinfo(k).min <= low and high <= np.iinfo(k).max), "<f8")
+
+
 def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products as 64-bit integers."""
     bound = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * max(1, rows.shape[1])
@@ -85,9 +99,10 @@ def best_of_tile(
     query_ids: np.ndarray, queries: np.ndarray, row_ids: np.ndarray, rows: np.ndarray, k: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Of each query the ids and scores of its k best rows, and all that tie with the last."""
-    for low in range(0, len(query_ids), TILE_QUERIES):
-        scores = _scores(queries[low : low + TILE_QUERIES], rows)
-        for j, query in enumerate(query_ids[low : low + TILE_QUERIES]):
+    strip = max(1, CELLS // max(1, len(rows)))
+    for low in range(0, len(query_ids), strip):
+        scores = _scores(queries[low : low + strip], rows)
+        for j, query in enumerate(query_ids[low : low + strip]):
             own, ids = scores[j], row_ids
             mine = ids == query
             if mine.any():
@@ -106,8 +121,8 @@ def _tiles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         for row in batch.to_pylist():
             dims = row["dims"]
             q_ids, r_ids = (np.frombuffer(row[x], np.int64) for x in ("group_ids", "shard_ids"))
-            q, r = (np.frombuffer(row[x]).reshape(-1, dims) if dims else np.zeros((len(n), 0))
-                    for x, n in (("group_matrix", q_ids), ("shard_matrix", r_ids)))
+            q, r = (np.frombuffer(row[f"{x}_matrix"], row[f"{x}_kind"]).astype(np.float64).reshape(len(n), dims)
+                    for x, n in (("group", q_ids), ("shard", r_ids)))
             found = [x for x in best_of_tile(q_ids, q, r_ids, r, k) if len(x[1])]
             if not found:
                 continue
@@ -124,13 +139,16 @@ def _tiles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             )
 
 
-def _packed(rows: DataFrame, count: int, limit: int, name: str) -> tuple[DataFrame, int]:
+def _packed(rows: DataFrame, name: str, least_rows: int, least_blocks: int) -> tuple[DataFrame, int]:
     """Staged matrices with numbers from 0, and how many numbers there are."""
-    parts = max(1, -(-count // limit))
+    count, entries = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("embedding").cast("long")), F.lit(0))).first()
+    narrow = 2 * entries  # most tables' numbers take two bytes
+    parts = max(1, -(-narrow // BLOCK_BYTES), min(least_blocks, -(-count // least_rows)))
+    limit = max(1, -(-count // parts))
     table = staged(rows.repartition(parts).mapInArrow(lambda it: _pack(it, limit), PACKED), name)
     number = F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")
-    return table.select("dims", number.alias(name), F.col("ids").alias(f"{name}_ids"),
-                        F.col("matrix").alias(f"{name}_matrix")), parts
+    own = [F.col(c).alias(f"{name}_{c}") for c in ("ids", "kind", "matrix")]
+    return table.select("dims", number.alias(name), *own), parts
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -138,8 +156,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     columns = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
     rows, asked = (usable(x.select(*columns)) for x in (vectors, queries))
     asked = asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    shards, n_shards = _packed(rows, rows.count(), SHARD_ROWS, "shard")
-    groups, n_groups = _packed(asked, asked.count(), GROUP_QUERIES, "group")
+    shards, n_shards = _packed(rows, "shard", SHARD_ROWS, SHARDS)
+    groups, n_groups = _packed(asked, "group", GROUP_QUERIES, GROUPS)
     # every group meets every shard in the task of their two numbers
     right = shards.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
     left = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))

@@ -186,6 +186,24 @@ def test_top_k(spark):
     assert topk_search.top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 900, 1e7, 1e12])
+def test_top_k_in_many_blocks_and_levels(spark, monkeypatch, scale):
+    ship_library(spark)
+    for name, value in (("BLOCK_BYTES", 500), ("SHARD_ROWS", 3), ("FAN", 2), ("CELLS", 7)):
+        monkeypatch.setattr(topk_search, name, value)
+    vectors = [(k, (np.round(RNG.normal(size=5), 1) * scale).tolist()) for k in range(260)]
+    vectors += [(1000 + k, vectors[k][1]) for k in range(30)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = topk_search.top_k(frame, frame.where("vec_id % 40 = 0"), k=6).collect()
+    good = [(k, [int(np.floor(64 * x)) for x in v]) for k, v in vectors]
+    expected = set()
+    for query, q in good:
+        if query % 40 == 0:
+            scores = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(q, v)))), k) for k, v in good if k != query)
+            expected |= {(query, n, k, -s) for n, (s, k) in enumerate(scores[:6], 1)}
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+
+
 def test_byte_bpe(docs, none):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
