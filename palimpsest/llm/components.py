@@ -28,7 +28,9 @@ def connected(edges: DataFrame) -> DataFrame:
 
     edges: ``a`` and ``b``, 64-bit. Alternates large and small stars: in each round
     every node's larger neighbours, then its smaller ones, are tied to the smallest.
-    Minima are aggregated before the shuffle; no task holds a component.
+    Minima are aggregated before the shuffle. The edges of one node meet in one task of
+    a join, unless Spark splits it (adaptive skew joins do), so a hub makes an uneven task;
+    they stream through it and are not held.
     """
     pairs = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),

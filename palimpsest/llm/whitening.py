@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.components import staged
 from palimpsest.llm.words import column
+from palimpsest.workspace import new_location, remove_location
 
 SCALE = 256.0
 COMPONENTS = 4
@@ -184,12 +184,22 @@ def bidiagonalise(
 
 
 def fit(grid: DataFrame, components: int = COMPONENTS, seed: int = 0) -> Fit:
-    """Components of the distinct vectors of ``on_grid``."""
+    """Components of the distinct vectors of ``on_grid``; the blocks it stages are deleted again."""
+    spark = grid.sparkSession
+    where = new_location(spark, "whitening")
+    try:
+        return _fit(grid, where, components, seed)
+    finally:
+        remove_location(spark, where)
+
+
+def _fit(grid: DataFrame, where: str, components: int, seed: int) -> Fit:
     width = grid.agg(F.max(F.size("x"))).first()[0] or 0
     padding = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("x"))
     distinct = grid.select(F.concat("x", padding).alias("x")).distinct()
     schema = "n long, upper array<long>, lower array<long>, x binary"
-    blocks = staged(distinct.mapInArrow(lambda it: _packed(it, width), schema), "whitening")
+    distinct.mapInArrow(lambda it: _packed(it, width), schema).write.parquet(where)
+    blocks = grid.sparkSession.read.schema(schema).parquet(where)
     totals = (
         blocks.select("n", F.posexplode(F.arrays_zip("upper", "lower")).alias("at", "half"))
         .groupBy("at").agg(F.sum("half.upper").alias("upper"), F.sum("half.lower").alias("lower"))

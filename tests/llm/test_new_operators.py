@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -313,6 +314,16 @@ def test_whitening_edge_cases(spark, rows, components):
     assert whitening.components(frame).count() == usable * components
 
 
+def test_staged_blocks_are_deleted(spark):
+    from palimpsest.workspace import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "palimpsest"
+    before = set(folder.glob("whitening-*"))
+    frame = spark.createDataFrame([(k, [float(k), 1.0 / (k + 1)]) for k in range(9)], "vec_id long, embedding array<float>")
+    assert whitening.fit(whitening.on_grid(frame)).passes > 0
+    assert set(folder.glob("whitening-*")) == before
+
+
 def test_deviations_beyond_64_bits_are_null():
     big = np.array([[2**40, 0], [1, 1]])
     assert whitening._deviations(big, 1000, [2**40 + 1, 1]) == [None, None]
