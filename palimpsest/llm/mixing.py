@@ -1,14 +1,21 @@
 """Mix sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
 A source's share of the mix is cut into blocks of equally many words. Blocks are
-seats: sources, and within a source its shards, get them by highest quotients
-(words wanted over 1, 3, 5, ...). A shard is a hash class of at most about
-``SHARD_DOCS`` documents of one source (and at most ``MOST_SHARDS`` a source), in a
-seeded order. It takes its quota as whole passes over its words and one more run of
-blocks, in a circle from a seeded start. So no document is taken more than twice where
-the target is at most twice the source, and reruns agree.
-
-Only sums per shard reach the driver: at most ``MOST_SHARDS`` rows a source.
+seats: sources get them by highest quotients (words wanted over 1, 3, 5, ...), and so
+do, within a source, its shards. A shard is a hash class of about ``SHARD_DOCS``
+documents of one source, in a seeded order, cut into blocks of its own. It takes its
+quota as whole passes over its words and, of the blocks, as many more as are left over:
+block ``j`` is one of them if ``(step * j + offset) % blocks`` is below their number,
+with seeded step and offset, the step prime to the number of blocks. That is a
+permutation, so exactly as many are chosen, each document finds its own without looking
+at others, and none is taken more than twice where the target is at most twice the
+source. Reruns agree.
+
+A source has as many shards as its documents need. Its seats go down a tree of hash
+prefixes, ``FAN`` children a node, so that no task apportions more than ``FAN`` parts.
+Words are counted first and staged without their texts. One row a source reaches the
+driver; sums of shards stay on the cluster, and Spark broadcasts them only below its own
+threshold.
 
 Null and empty texts have size 0 and are not taken. A null source is a source of its
 own, the last. Repeated rows are documents like any other. Input columns called like
@@ -17,19 +24,26 @@ those added are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from fractions import Fraction
+from math import gcd
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from palimpsest.llm.components import staged
+
 WEIGHTS = (5, 2, 1)
 BUDGET = Fraction(3, 2)
 MOST_TIMES = 2
 SEED = 17
-SHARD_DOCS, MOST_SHARDS = 2048, 1024
+SHARD_DOCS = 2048
+#: Children of a node in the tree of a source's shards, as bits.
+FAN_BITS = 10
+FAN = 1 << FAN_BITS
 #: Words of a block at most; the least target has a thousand blocks where it can.
 BLOCK_WORDS = 64
 ADDED = ("size", "source_size", "target", "taken")
@@ -91,93 +105,131 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -
     """The documents (without their text) with size, source_size, target and taken."""
     docs = docs.drop(*ADDED)
     whole = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
-    sized = whole.select("doc", _size("text").alias("size"), _place(seed).alias("place"))
-    return _mixed(sized, weights, seed).select("doc.*", *ADDED)
+    sized = staged(whole.select("doc", F.col("doc.source").alias("source"), _size("text").alias("size"), _place(seed)), "sizes")
+    return _mixed(sized, sized, weights, seed).select("doc.*", *ADDED)
 
 
 def materialize(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """The mix itself: a row for each time a document is taken; columns as they were.
 
-    A part of a document has the words of the part, joined by one space.
+    A part of a document has the words of its chosen blocks in the order of the text,
+    joined by one space; where all are chosen it is the text as it was.
     """
     whole = docs.select(F.struct("*").alias("doc"), "text")
-    sized = whole.select("doc", "text", _size("text").alias("size"), _place(seed).alias("place"))
-    mixed = _mixed(sized.drop("text"), weights, seed).where("taken > 0")
+    sized = whole.select("doc", "text", F.col("doc.source").alias("source"), _size("text").alias("size"), _place(seed))
+    counted = staged(sized.select("source", "size", "place"), "sizes")
+    mixed = _mixed(sized.drop("text"), counted, weights, seed).where("taken > 0")
     words = F.regexp_extract_all("doc.text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    place = lambda name: F.col(name).cast("int")
-    part = F.array_join(
-        F.concat(F.slice(words, place("run_from") + 1, place("run_words")), F.slice(words, 1, place("head_words"))), " "
-    )
-    more = F.col("run_words") + F.col("head_words")
+    pieces = F.transform("parts", lambda p: F.slice(words, (p["start"] + 1).cast("int"), p["words"].cast("int")))
     copies = F.concat(
-        F.array_repeat("doc.text", place("passes")),
-        F.when(more == 0, F.array().cast("array<string>"))
-        .when(more == F.col("size"), F.array("doc.text"))
-        .otherwise(F.array(part)),
+        F.array_repeat("doc.text", F.col("passes").cast("int")),
+        F.when(F.col("some") == 0, F.array().cast("array<string>"))
+        .when(F.col("some") == F.col("size"), F.array("doc.text"))
+        .otherwise(F.array(F.array_join(F.flatten(pieces), " "))),
     )
     columns = [F.col(f"doc.{c}").alias(c) for c in docs.columns if c != "text"]
     return mixed.select(*columns, F.explode(copies).alias("text")).select(*docs.columns)
 
 
 def _place(seed: int) -> F.Column:
-    return F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("text"))
-
-
-def _mixed(sized: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
-    """The columns added, and the parts of ``taken``: passes over all words of the
-    document, then run_words from run_from on and head_words from its first on."""
-    sized = sized.withColumn("source", F.col("doc.source"))
-    cells = F.pmod(F.shiftright("place", 20), F.lit(MOST_SHARDS)).cast("int").alias("cell")
-    sums = sized.groupBy("source", cells).agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
-    plan = _plan(sums, weights, seed)
-    schema = "p_source string, p_cell int, shard int, source_size long, target double, words long, passes long, run long, start long"
-    table = sized.sparkSession.createDataFrame(plan, schema)
-    keyed = sized.withColumn("cell", cells)
-    placed = keyed.join(
-        F.broadcast(table), keyed["source"].eqNullSafe(table["p_source"]) & (keyed["cell"] == table["p_cell"])
-    )
-    order = Window.partitionBy("source", "shard").orderBy("place", "size")
+    return F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("text")).alias("place")
+
+
+def _mixed(docs: DataFrame, counted: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
+    """The columns added, and what ``taken`` consists of: ``passes`` over all words of the
+    document, then ``parts`` (start and number of words, ``some`` in all).
+
+    docs: source, size, place and more; counted: the same three columns, cheap to read.
+    """
+    sources = _sources(counted, weights)
+    shards = staged(_shards(_in_shards(counted, sources), seed), "shards")
+    placed = _in_shards(docs, sources).join(shards, ["number", "shard"])
+    order = Window.partitionBy("number", "shard").orderBy("place", "size")
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     at = placed.withColumn("low", before).withColumn("high", F.col("low") + F.col("size"))
-    none = F.lit(0).cast("long")
-    overlap = lambda a, b: F.greatest(none, F.least("high", b) - F.greatest("low", a))
-    stop = F.col("start") + F.col("run")
-    first = overlap(F.col("start"), F.least(stop, F.col("words")))
-    round_ = overlap(none, stop - F.col("words"))
-    return at.select(
-        "doc", "size", "source_size", "target", "passes",
-        (F.col("passes") * F.col("size") + first + round_).alias("taken"),
-        F.when(first > 0, F.greatest("start", "low") - F.col("low")).otherwise(none).alias("run_from"),
-        first.alias("run_words"), round_.alias("head_words"),
+    own = F.sequence(F.floor(F.col("low") / F.col("block")), F.floor((F.col("high") - 1) / F.col("block")))
+    chosen = F.filter(own, lambda j: (j * F.col("step") + F.col("offset")) % F.col("blocks") < F.col("extra"))
+    start = lambda j: F.greatest(j * F.col("block"), F.col("low"))
+    part = lambda j: F.struct(
+        (start(j) - F.col("low")).alias("start"),
+        (F.least((j + 1) * F.col("block"), F.col("high")) - start(j)).alias("words"),
+    )
+    none = F.array().cast("array<struct<start: bigint, words: bigint>>")
+    taking = (F.col("size") > 0) & (F.col("extra") > 0)
+    with_parts = at.withColumn("parts", F.when(taking, F.transform(chosen, part)).otherwise(none))
+    some = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    return with_parts.withColumn("some", some).select(
+        "doc", "size", "source_size", "target", "passes", "parts", "some",
+        (F.col("passes") * F.col("size") + F.col("some")).alias("taken"),
     )
 
 
-def _plan(sums: list, weights: tuple[int, ...], seed: int) -> list[tuple]:
-    by_source: dict[str | None, list] = {}
-    for row in sums:
-        by_source.setdefault(row.source, []).append(row)
-    names = sorted(by_source, key=lambda s: (s is None, s or ""))
-    sizes = [sum(r.words for r in by_source[s]) for s in names]
-    cycle = [weights[k % len(weights)] for k in range(len(names))]
-    wanted = targets(sizes, cycle, BUDGET * sum(sizes)) if any(sizes) else [Fraction(0)] * len(names)
+def _sources(counted: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """A row a source: its number, size, target, seats, and the bits of its shards' numbers."""
+    sums = counted.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
+    sums.sort(key=lambda r: (r.source is None, r.source or ""))
+    sizes = [r.words for r in sums]
+    cycle = [weights[k % len(weights)] for k in range(len(sums))]
+    wanted = targets(sizes, cycle, BUDGET * sum(sizes)) if any(sizes) else [Fraction(0)] * len(sums)
     least = min((w for w in wanted if w), default=Fraction(1))
     block = max(1, min(BLOCK_WORDS, int(least / 1000)))
     quotas = seats(wanted, int(sum(wanted) / block + Fraction(1, 2)))
-    plan = []
-    for source, size, want, quota in zip(names, sizes, wanted, quotas):
-        count = sum(r.docs for r in by_source[source])
-        shards = 1
-        while shards < MOST_SHARDS and shards * SHARD_DOCS < count:
-            shards *= 2
-        words = [0] * shards
-        for r in by_source[source]:
-            words[r.cell % shards] += r.words
-        own = seats(words, quota)
-        for r in by_source[source]:
-            shard = r.cell % shards
-            total = words[shard]
-            taking = min(own[shard] * block, MOST_TIMES * total)
-            passes, run = divmod(taking, total) if total else (0, 0)
-            start = (hash((seed, shard)) * 2654435761 % 2**32) * max(1, -(-total // block)) // 2**32 * block
-            plan.append((source, r.cell, shard, size, float(want), total, passes, run, start))
-    return plan
+    rows = [
+        (r.source, k, r.words, float(want), quota, (max(0, r.docs - 1) // SHARD_DOCS).bit_length(), block)
+        for k, (r, want, quota) in enumerate(zip(sums, wanted, quotas))
+    ]
+    schema = "source string, number int, source_size long, target double, quota long, bits int, block long"
+    return counted.sparkSession.createDataFrame(rows, schema)
+
+
+def _in_shards(docs: DataFrame, sources: DataFrame) -> DataFrame:
+    """The documents with their source's row and their shard's number: the place's first bits."""
+    named = sources.withColumnRenamed("source", "of_source")
+    shard = F.when(F.col("bits") == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftrightunsigned(place, 64 - bits)"))
+    return docs.join(named, docs["source"].eqNullSafe(named["of_source"])).withColumn("shard", shard)
+
+
+def _shards(docs: DataFrame, seed: int) -> DataFrame:
+    """How each shard takes its quota of its source's seats: number, shard, blocks, passes, extra, step, offset."""
+    leaves = docs.groupBy("number", "shard").agg(
+        F.sum("size").alias("words"), *[F.first(c).alias(c) for c in ("quota", "bits", "block")]
+    )
+    leaves = staged(leaves, "shard-sums")
+    levels = max(1, -(-(leaves.agg(F.max("bits")).first()[0] or 0) // FAN_BITS))
+    given = leaves.select("number", F.lit(0).cast("long").alias("parent"), "quota").distinct()
+    for below in reversed(range(levels)):
+        node = F.shiftright("shard", below * FAN_BITS)
+        nodes = leaves.groupBy("number", node.alias("node"), "block").agg(F.sum("words").alias("words"))
+        nodes = nodes.withColumn("parent", F.shiftright("node", FAN_BITS)).join(
+            given.select("number", "parent", "quota"), ["number", "parent"]
+        )
+        given = nodes.groupBy("number", "parent").applyInPandas(
+            _apportioned, "number int, parent long, words long, block long, quota long"
+        )
+    return given.select("number", F.col("parent").alias("shard"), "words", "block", "quota").mapInPandas(
+        lambda frames: (_selection(frame, seed) for frame in frames),
+        "number int, shard long, blocks long, passes long, extra long, step long, offset long",
+    )
+
+
+def _apportioned(nodes: pd.DataFrame) -> pd.DataFrame:
+    """The quota of a node's at most ``FAN`` children, which are the next level's parents."""
+    nodes = nodes.sort_values("node")
+    own = seats([int(n) for n in nodes.words], int(nodes.quota.iloc[0]))
+    return pd.DataFrame(
+        {"number": nodes.number, "parent": nodes.node, "words": nodes.words, "block": nodes.block, "quota": own}
+    )
+
+
+def _selection(shards: pd.DataFrame, seed: int) -> pd.DataFrame:
+    rows = []
+    for number, shard, words, block, quota in shards.itertuples(index=False):
+        blocks = max(1, -(-int(words) // int(block)))
+        passes, extra = divmod(min(int(quota), MOST_TIMES * blocks), blocks)
+        digest = hashlib.blake2b(f"{seed}:{number}:{shard}".encode(), digest_size=16).digest()
+        step, offset = (int.from_bytes(half, "little") % blocks for half in (digest[:8], digest[8:]))
+        step += 1
+        while gcd(step, blocks) > 1:
+            step += 1
+        rows.append((number, shard, blocks, passes, extra, step, offset))
+    return pd.DataFrame(rows, columns=["number", "shard", "blocks", "passes", "extra", "step", "offset"])

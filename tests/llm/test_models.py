@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +265,27 @@ def test_stages_handle_odd_rows(spark):
             assert sum(r.doc_id in (0, 1) for r in found) == 2
         if name == "byte_bpe":
             assert len(found) == len(rows) and {r.n_tokens for r in found if r.doc_id in (50, 51)} == {0}
+
+
+def test_many_shards_get_their_seats_down_a_tree(spark, monkeypatch):
+    ship_library(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "text")
+    sums = {r.source: r for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t")).collect()}
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 2)
+    monkeypatch.setattr(mixing, "FAN_BITS", 2)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count() and all(0 <= r.taken <= 2 * r.size for r in rows)
+    for source, row in sums.items():
+        taken = sum(r.taken for r in rows if r.source == source)
+        assert abs(taken - row.t) <= max(30, 0.02 * row.t)
+    words = mixing.materialize(docs).select("doc_id", F.explode(F.split(F.trim("text"), "[ \t-\r]+")).alias("w")).where("w <> ''")
+    counted = {r.doc_id: r["count"] for r in words.groupBy("doc_id").count().collect()}
+    assert counted == {r.doc_id: r.taken for r in rows if r.taken}
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 9, 64, 1000])
+def test_chosen_blocks_are_as_many_as_the_quota(blocks):
+    for quota in {0, 1, blocks // 2, blocks, blocks + 1, 2 * blocks, 3 * blocks}:
+        row = mixing._selection(pd.DataFrame([(3, 5, blocks * 64 - 1, 64, quota)], columns=list("abcde")), 17).iloc[0]
+        chosen = sum((j * row.step + row.offset) % blocks < row.extra for j in range(blocks))
+        assert row.blocks == blocks and row.passes * blocks + chosen == min(quota, 2 * blocks)
