@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from palimpsest.operators.unique import repeated_numbers
 from palimpsest.schemas import FIELDS, REQUIRED
 
 
@@ -55,7 +57,12 @@ def required_or_fail(rows: DataFrame, required: list[str] = REQUIRED) -> DataFra
 
 
 def duplicate_ids(rows: DataFrame, key: str = "id") -> DataFrame:
-    """``key``, ``copies`` of every key held by several rows."""
+    """``key``, ``copies`` of every key held by several rows.
+
+    Whole numbers are packed before they are shuffled (``repeated_numbers``).
+    """
+    if isinstance(rows.schema[key].dataType, IntegralType):
+        return repeated_numbers(rows, key)
     return rows.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
