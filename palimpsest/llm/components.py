@@ -14,6 +14,8 @@ from palimpsest.workspace import new_location
 
 BLOCK = 1 << 16
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30
+#: A key is hot that holds more than one in HOT of a table's rows, and LEAST_HOT at least.
+HOT, LEAST_HOT = 4096, 512
 
 
 def staged(frame: DataFrame, purpose: str) -> DataFrame:
@@ -23,14 +25,40 @@ def staged(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(where)
 
 
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """``key``: those that hold more than one in ``HOT`` of the rows, so fewer than ``HOT``.
+
+    Few enough to broadcast whatever the size of the table. Keys of under ``LEAST_HOT`` rows are
+    never hot. Rows are counted before they are shuffled.
+    """
+    total = rows.count()
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    return counts.where(F.col("rows") > max(LEAST_HOT, total // HOT)).select(key)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """``rows.join(table, key, "left")``, in which rows of a hot key stay where they are.
+
+    table: one row a key at most. Its rows of hot keys, fewer than ``HOT``, are broadcast;
+    the other keys meet in a shuffle as usual. Rows without a key stay, too. Both tables are
+    read more than once, so they should be staged; hot: what ``hot_keys`` gives, where known.
+    """
+    hot = staged(hot_keys(rows, key).coalesce(1), "hot-keys") if hot is None else hot
+    few = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
+    marked = rows.join(few, key, "left")
+    stays = F.col("is_hot").isNotNull() | F.col(key).isNull()
+    own = F.broadcast(table.join(few, key, "left_semi"))
+    spread = marked.where(stays).drop("is_hot").join(own, key, "left")
+    return spread.unionByName(marked.where(~stays).drop("is_hot").join(table, key, "left"))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``node``, ``component``: the smallest node reachable. Nodes without edges are not listed.
 
     edges: ``a`` and ``b``, 64-bit. Alternates large and small stars: in each round
     every node's larger neighbours, then its smaller ones, are tied to the smallest.
-    Minima are aggregated before the shuffle. The edges of one node meet in one task of
-    a join, unless Spark splits it (adaptive skew joins do), so a hub makes an uneven task;
-    they stream through it and are not held.
+    Minima are aggregated before the shuffle. The edges of a hub are not brought
+    together: its minimum is sent to them (``spread_join``).
     """
     pairs = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
@@ -39,16 +67,18 @@ def connected(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = staged(_least(both, F.least(F.min("b"), F.col("a"))), "least")
         large = (
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            spread_join(both.where("b > a"), least.select("a", "m"), "a", _hubs(least))
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b").distinct()
         )
         large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         large = staged(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(_least(large, F.min("b")), "least")
         small = (
-            large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            spread_join(large, least.select("a", "m"), "a", _hubs(least))
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("a", F.col("m").alias("b")))
             .where("a <> b").distinct()
         )
@@ -63,6 +93,16 @@ def connected(edges: DataFrame) -> DataFrame:
     )
 
 
+def _least(edges: DataFrame, least) -> DataFrame:
+    return edges.groupBy("a").agg(least.alias("m"), F.count("*").alias("degree"))
+
+
+def _hubs(least: DataFrame) -> DataFrame:
+    """As ``hot_keys`` of the edges, from the nodes' degrees."""
+    total = least.agg(F.sum("degree")).first()[0] or 0
+    return least.where(F.col("degree") > max(LEAST_HOT, total // HOT)).select("a")
+
+
 def _bits(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = np.unique(places(batch.column(0).to_numpy(zero_copy_only=False), size))

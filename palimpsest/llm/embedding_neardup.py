@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.components import connected, staged
+from palimpsest.llm.components import connected, spread_join, staged
 from palimpsest.llm.words import column
 
 COSINE = 0.98
@@ -224,15 +224,15 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     )
     counts = compared.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected(compared.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    members = keyed.select("vec_id", "node")
-    copies = nodes.select("node", "copies")
+    members = staged(keyed.select("vec_id", "node"), "members")
+    linked = decoded.select("node", "copies").join(counts, "node", "left").join(groups, "node", "left")
     named = (
-        members.join(copies, "node", "left").join(counts, "node", "left").join(groups, "node", "left")
+        spread_join(members, staged(linked, "linked"), "node")
         .withColumn("component", F.coalesce("component", "node"))
     )
     named = staged(named, "named")
-    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("least"))
-    out = named.join(least, "component", "left")
+    least = staged(named.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("least")), "least")
+    out = spread_join(named, least, "component")
     component = F.coalesce("least", "vec_id")
     return out.select(
         "vec_id",

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.components import bitmap, connected, is_set, staged
+from palimpsest.llm.components import bitmap, connected, hot_keys, is_set, spread_join, staged
 from palimpsest.llm.words import column, hash_runs, mix, slices, words_of
 
 SHINGLE = 5
@@ -344,15 +344,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     rows = staged(nodes.select("node", "id", "n", F.explode("sketch").alias("bucket")), "buckets")
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = staged(rows.join(sizes, "bucket"), "shared")
+    sizes = staged(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    hot = staged(hot_keys(rows, "bucket").coalesce(1), "hot-buckets")
+    shared = staged(spread_join(rows, sizes, "bucket", hot).where("size > 1"), "shared")
     # the text that others are copies of shares most sketches with them: the best hub
     degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
     hubs = (
         shared.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("hub"))
         .select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     )
-    shared = staged(shared.join(hubs, "bucket"), "shared")
+    shared = staged(spread_join(shared, staged(hubs, "hubs"), "bucket", hot), "shared")
     wanted = shared.select("id").distinct()
     bits = spark.sparkContext.broadcast(bitmap(wanted, shared.select("node").distinct().count()))
     sequences = staged(
@@ -367,21 +368,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _links(first, sequences)
     groups = staged(connected(links), "groups")
     left = groups.select(F.col("node").alias("node"), F.col("component").alias("group"))
-    named = shared.join(left, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    named = staged(shared.join(left, "node", "left").withColumn("group", F.coalesce("group", "node")), "grouped-buckets")
     hub_group = left.select(F.col("node").alias("hub"), F.col("group").alias("hub_group"))
-    named = named.join(hub_group, "hub", "left").withColumn("hub_group", F.coalesce("hub_group", "hub"))
+    named = spread_join(named, hub_group, "hub").withColumn("hub_group", F.coalesce("hub_group", "hub"))
     named = named.where("node <> hub").select("hub", "node", "group", (F.col("group") != F.col("hub_group")).alias("apart"))
     named = staged(named.distinct(), "named")
     links = links.union(_links_apart(named, sequences))
     groups = connected(links)
     grouped = (
-        members.select("id", "tag", "node")
-        .join(groups, "node", "left")
+        spread_join(members.select("id", "tag", "node"), staged(groups, "groups"), "node")
         .select("id", "tag", F.coalesce("component", "node").alias("group"))
     )
     grouped = staged(grouped, "grouped")
-    least = grouped.groupBy("group").agg(F.min(F.struct("id", "tag")).alias("least"))
-    out = grouped.join(least, "group").select(
+    least = staged(grouped.groupBy("group").agg(F.min(F.struct("id", "tag")).alias("least")), "least")
+    out = spread_join(grouped, least, "group").select(
         "id", "tag", F.col("least.id").alias("component"), (F.col("least") == F.struct("id", "tag")).alias("kept")
     )
     alone = keyed.where("text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'").select(

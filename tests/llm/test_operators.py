@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from palimpsest.llm import (
-    byte_bpe, embedding_neardup, language_id, minhash_dedup, mixing, sharding, substring_dedup, token_output,
+    byte_bpe, components, embedding_neardup, language_id, minhash_dedup, mixing, sharding, substring_dedup, token_output,
     topk_search, toxicity,
 )
 from palimpsest.llm.queries import ORACLE, QUERIES
@@ -375,3 +375,21 @@ def test_language_stage_keeps_mixed_text(spark):
     frame = spark.createDataFrame([*rows, ("mixed", mixed, None), ("none", "12 -- 7", None)], "doc_id string, text string, lang string")
     left = {r.doc_id for r in corpus_pipeline.identify_language(spark, frame, SF).collect()}
     assert left == {x for x, _, _ in rows} | {"mixed"}
+
+
+def test_a_star_is_not_brought_together(spark, setting):
+    leaves = 200_000
+    setting("spark.sql.files.maxPartitionBytes", "1m")  # a task for each of the 20 files
+    star = spark.range(1, leaves + 1).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).repartition(20)
+    others = spark.range(300_000, 300_050).select(F.col("id").alias("a"), (F.col("id") + 50).alias("b"))
+    found = components.connected(star.union(others).union(others))
+    sizes = {r.component: r["count"] for r in found.groupBy("component").count().collect()}
+    assert sizes == {0: leaves + 1} | {300_000 + k: 2 for k in range(50)}
+    none = spark.createDataFrame([(None, 1), (None, 2)], "a long, b long")
+    rows = components.staged(star.union(others).union(none), "star")
+    table = components.staged(spark.createDataFrame([(0, "hub"), (300_007, "seven"), (9, "nobody")], "a long, name string"), "names")
+    joined = components.spread_join(rows, table, "a")
+    assert sorted(joined.collect(), key=str) == sorted(rows.join(table, "a", "left").collect(), key=str)
+    assert [r.a for r in components.hot_keys(rows, "a").collect()] == [0]
+    tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == leaves + 52 and max(tasks) <= leaves // 10
