@@ -120,12 +120,14 @@ def materialize(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int =
     counted = staged(sized.select("source", "size", "place"), "sizes")
     mixed = _mixed(sized.drop("text"), counted, weights, seed).where("taken > 0")
     words = F.regexp_extract_all("doc.text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    pieces = F.transform("parts", lambda p: F.slice(words, (p["start"] + 1).cast("int"), p["words"].cast("int")))
+    piece = lambda own, p: F.slice(own, (p["start"] + 1).cast("int"), p["words"].cast("int"))
+    # bound by a lambda of its own, so that a text is cut into words once and not for each part
+    pieces = F.transform(F.array(words), lambda own: F.flatten(F.transform("parts", lambda p: piece(own, p))))[0]
     copies = F.concat(
         F.array_repeat("doc.text", F.col("passes").cast("int")),
         F.when(F.col("some") == 0, F.array().cast("array<string>"))
         .when(F.col("some") == F.col("size"), F.array("doc.text"))
-        .otherwise(F.array(F.array_join(F.flatten(pieces), " "))),
+        .otherwise(F.array(F.array_join(pieces, " "))),
     )
     columns = [F.col(f"doc.{c}").alias(c) for c in docs.columns if c != "text"]
     return mixed.select(*columns, F.explode(copies).alias("text")).select(*docs.columns)
